@@ -23,28 +23,38 @@ DELETED = "_deleted"
 
 
 def version_all(
-    changes: DataFrame, key: str, delete: str | None = None, hot: Hot | None = None
+    changes: DataFrame,
+    key: str,
+    delete: str | None = None,
+    hot: Hot | None = None,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Versions plus the delete changes, told apart by the ``_deleted`` column.
 
     Rows without a key cannot be versioned and are left out. Of rows with the same key and
-    sequence one stays, chosen by content.
+    sequence one stays, chosen by the content of the ``ties`` columns: all of them by default.
+    Naming the few in which such rows can differ lets unused columns be pruned from the scan.
     """
     flag = F.coalesce(F.expr(delete), F.lit(False)) if delete else F.lit(False)
     rows = (
         changes.filter(F.col(key).isNotNull())
-        .withColumn("_content", F.xxhash64(*changes.columns))
+        .withColumn("_content", F.xxhash64(*(changes.columns if ties is None else ties)))
         .withColumns({DELETED: flag, START: F.struct(*SEQUENCE)})
     )
-    chained = with_next(rows, key, [*SEQUENCE, "_content"], START, END, hot)
+    order = [*SEQUENCE, "_content"]
+    chained = with_next(rows, key, order, START, END, hot, drop_copies=True)
     return chained.filter(~F.col(START).eqNullSafe(F.col(END))).drop("_content")
 
 
 def versions(
-    changes: DataFrame, key: str, delete: str | None = None, hot: Hot | None = None
+    changes: DataFrame,
+    key: str,
+    delete: str | None = None,
+    hot: Hot | None = None,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """The version table: columns of ``changes`` plus ``__START_AT`` and ``__END_AT``."""
-    return version_all(changes, key, delete, hot).filter(~F.col(DELETED)).drop(DELETED)
+    return version_all(changes, key, delete, hot, ties).filter(~F.col(DELETED)).drop(DELETED)
 
 
 def current(version_table: DataFrame) -> DataFrame:

@@ -67,8 +67,9 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a side with few rows per key.
 
-    Hot fact rows are spread by a hash of their content; the lookup rows of hot keys, and only
-    those, are repeated once per spread.
+    Hot fact rows are spread by a hash of their content, which a repeated task reproduces; the
+    lookup rows of hot keys, and only those, are repeated once per spread. Exact copies of one row
+    stay together here and are left to the adaptive skew join.
     """
     on = [key]
     if hot:
@@ -97,16 +98,29 @@ def _ranges(rows: DataFrame, key: str, order: Sequence[str], hot: Hot) -> DataFr
 
 
 def with_next(
-    rows: DataFrame, key: str, order: Sequence[str], value: str, out: str, hot: Hot | None = None
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    hot: Hot | None = None,
+    drop_copies: bool = False,
 ) -> DataFrame:
-    """Adds ``out``: ``value`` of the next row of the same key in ``order``. ``value`` is never NULL."""
+    """Adds ``out``: ``value`` of the next row of the same key in ``order``. ``value`` is never NULL.
+
+    Rows equal in key and order cannot be split into ranges. Where they are mere copies,
+    ``drop_copies`` collapses those of hot keys before the shuffle; other keys keep theirs.
+    """
 
     def within(part: DataFrame, *by: str) -> DataFrame:
         return part.withColumn(out, F.lead(value).over(Window.partitionBy(*by).orderBy(*order)))
 
     if not hot:
         return within(rows, key)
-    sliced = _ranges(rows.filter(is_hot(key, hot)), key, order, hot)
+    heavy = rows.filter(is_hot(key, hot))
+    if drop_copies:
+        heavy = heavy.dropDuplicates([key, *order])
+    sliced = _ranges(heavy, key, order, hot)
     per_slice = sliced.groupBy(key, "_slice").agg(F.min_by(value, F.struct(*order)).alias("_first"))
     next_first = F.lead("_first").over(Window.partitionBy(key).orderBy("_slice"))
     borders = per_slice.select(key, "_slice", next_first.alias("_border"))

@@ -19,18 +19,18 @@ from shopledger.streaming.ingest import append_stream, drain
 BUCKET = "_bucket"
 
 
-def log_changes(
-    staged: DataFrame, log: str, checkpoint: str, key: str, buckets: int, writers_per_bucket: int = 1
-) -> None:
+def log_changes(staged: DataFrame, log: str, checkpoint: str, key: str, buckets: int) -> None:
     """Appends the new rows of a staged stream to the change log.
 
-    Rows of a bucket are gathered on ``writers_per_bucket`` tasks, picked by row content, which
-    keeps the files large without binding a hot key to one task.
+    Rows of a bucket are gathered to keep files large. Each bucket still gets its share of the
+    shuffle partitions as writers, told apart by input partition, so that neither a hot key nor
+    copies of one row end up in a single task. A repeated task has the same input partition.
     """
+    writers = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    part = F.pmod(F.hash(*staged.columns), F.lit(writers_per_bucket))
-    rows = staged.withColumn(BUCKET, bucket).repartition(buckets * writers_per_bucket, BUCKET, part)
-    append_stream(rows, log, checkpoint, partition=BUCKET)
+    part = F.pmod(F.spark_partition_id(), F.lit(max(writers, 1)))
+    rows = staged.withColumns({BUCKET: bucket, "_part": part})
+    append_stream(rows.repartition(BUCKET, "_part").drop("_part"), log, checkpoint, partition=BUCKET)
 
 
 def refresh_versions(
