@@ -36,14 +36,13 @@ def version_all(
     Naming the few in which such rows can differ lets unused columns be pruned from the scan.
     """
     flag = F.coalesce(F.expr(delete), F.lit(False)) if delete else F.lit(False)
-    rows = (
-        changes.filter(F.col(key).isNotNull())
-        .withColumn("_content", F.xxhash64(*(changes.columns if ties is None else ties)))
-        .withColumns({DELETED: flag, START: F.struct(*SEQUENCE)})
-    )
+    content = F.xxhash64(*(changes.columns if ties is None else ties))
+    rows = changes.filter(F.col(key).isNotNull()).withColumn("_content", content)
     order = [*SEQUENCE, "_content"]
-    chained = with_next(rows, key, order, START, END, hot, drop_copies=True)
-    return chained.filter(~F.col(START).eqNullSafe(F.col(END))).drop("_content")
+    chained = with_next(rows, key, order, SEQUENCE, END, hot, drop_copies=True)
+    placed = chained.withColumns({DELETED: flag, START: F.struct(*SEQUENCE)})
+    newest = placed.filter(~F.col(START).eqNullSafe(F.col(END)))
+    return newest.select(*changes.columns, DELETED, START, END)
 
 
 def versions(
@@ -87,10 +86,9 @@ def keep_latest(
 
 def overlaps(version_table: DataFrame, key: str, hot: Hot | None = None) -> DataFrame:
     """Versions that are still open when the next version of their key starts; none are expected."""
-    rows = version_table.withColumns(
-        {"_from": F.col(START), "_content": F.xxhash64(*version_table.columns)}
-    )
-    chained = with_next(rows, key, ["_from", "_content"], START, "_next_start", hot)
-    ended = F.col(END).isNull() | (F.col(END) > F.col("_next_start"))
-    found = chained.filter(F.col("_next_start").isNotNull() & ended)
-    return found.drop("_from", "_content")
+    content = F.xxhash64(*version_table.columns)
+    rows = version_table.withColumns({"_from": F.col(START), "_content": content})
+    chained = with_next(rows, key, ["_from", "_content"], ["_from"], "_next", hot)
+    ended = F.col(END).isNull() | (F.col(END) > F.col("_next._from"))
+    found = chained.filter(F.col("_next").isNotNull() & ended)
+    return found.select(*version_table.columns, F.col("_next._from").alias("_next_start"))

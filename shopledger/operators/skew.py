@@ -101,19 +101,24 @@ def with_next(
     rows: DataFrame,
     key: str,
     order: Sequence[str],
-    value: str,
+    fields: Sequence[str],
     out: str,
     hot: Hot | None = None,
     drop_copies: bool = False,
 ) -> DataFrame:
-    """Adds ``out``: ``value`` of the next row of the same key in ``order``. ``value`` is never NULL.
+    """Adds ``out``: a struct of ``fields`` of the next row of the same key in ``order``, else NULL.
 
     Rows equal in key and order cannot be split into ranges. Where they are mere copies,
     ``drop_copies`` collapses those of hot keys before the shuffle; other keys keep theirs.
     """
 
     def within(part: DataFrame, *by: str) -> DataFrame:
-        return part.withColumn(out, F.lead(value).over(Window.partitionBy(*by).orderBy(*order)))
+        # The fields are looked up one by one: a struct column would be shuffled beside them.
+        window = Window.partitionBy(*by).orderBy(*order)
+        ahead = {f"_next_{f}": F.lead(f).over(window) for f in fields}
+        seen = part.withColumns({**ahead, "_has_next": F.lead(F.lit(True)).over(window)})
+        after = F.struct(*[F.col(f"_next_{f}").alias(f) for f in fields])
+        return seen.withColumn(out, F.when(F.col("_has_next"), after)).drop(*ahead, "_has_next")
 
     if not hot:
         return within(rows, key)
@@ -121,7 +126,8 @@ def with_next(
     if drop_copies:
         heavy = heavy.dropDuplicates([key, *order])
     sliced = _ranges(heavy, key, order, hot)
-    per_slice = sliced.groupBy(key, "_slice").agg(F.min_by(value, F.struct(*order)).alias("_first"))
+    first = F.min_by(F.struct(*fields), F.struct(*order))
+    per_slice = sliced.groupBy(key, "_slice").agg(first.alias("_first"))
     next_first = F.lead("_first").over(Window.partitionBy(key).orderBy("_slice"))
     borders = per_slice.select(key, "_slice", next_first.alias("_border"))
     # At most one border per range and hot key, so broadcasting has a fixed bound.

@@ -68,14 +68,14 @@ def test_lookup_join_spreads_hot_rows(spark, skewed, rows_of, null_safe):
 
 
 def test_with_next_equals_brute_force(skewed):
-    got = with_next(skewed, "k", ["at", "id"], "id", "after", {"big": 6, None: 2})
+    got = with_next(skewed, "k", ["at", "id"], ["id"], "after", {"big": 6, None: 2})
     by_key = {}
     for r in sorted(skewed.collect(), key=lambda r: (r.at, r.id)):
         by_key.setdefault(r.k, []).append(r.id)
     wanted = {}
     for ids in by_key.values():
         wanted.update(zip(ids, [*ids[1:], None]))
-    assert {r.id: r.after for r in got.collect()} == wanted
+    assert {r.id: r.after and r.after.id for r in got.collect()} == wanted
 
 
 @pytest.mark.parametrize("splits", [1, 2, 6, 40])
