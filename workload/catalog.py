@@ -45,7 +45,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 IS_DELETE = "operation = 'DELETE'"
-BUCKETS = 64
 
 
 def query(build: Query) -> Query:
@@ -563,10 +562,11 @@ def _versions_by_drops(
 ) -> tuple[str, DataFrame]:
     """Change drops landing one after the other, each followed by an incremental run."""
     base = scratch_path(spark, label)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for drop in drops:
         drop.write.mode("append").parquet(f"{base}/landing")
         stream = spark.readStream.schema(drop.schema).parquet(f"{base}/landing")
-        log_changes(stream, f"{base}/log", f"{base}/state/log", key, BUCKETS)
+        log_changes(stream, f"{base}/log", f"{base}/state/log", key, buckets)
         refresh_versions(spark, f"{base}/log", f"{base}/table", f"{base}/state/table", key, delete)
     return base, read_versions(spark, f"{base}/table")
 

@@ -17,6 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _idle_cores(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Cores that stay idle while the table is scanned, because it has too few row groups."""
+    splits = table(spark, sf_dir, name).rdd.getNumPartitions()
+    return spark.sparkContext.defaultParallelism - splits
+
+
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table, dealt out to all cores if its files alone would not occupy them.
+
+    Large tables have more splits than the cluster has cores and are read as they are.
+    """
+    rows = table(spark, sf_dir, name)
+    if _idle_cores(spark, sf_dir, name) <= 0:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism)
+
+
 @cache
 def _hot(spark: SparkSession, sf_dir: str, name: str, expression: str) -> dict:
     """Hot values of one expression over a stored table; found once per session."""
@@ -64,18 +82,19 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_join(table(spark, sf_dir, "orders"), _customers(spark, sf_dir), "o_custkey", hot)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """Order lines with their part's row."""
     part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
     hot = _hot(spark, sf_dir, "lineitem", "l_partkey")
-    return lookup_join(table(spark, sf_dir, "lineitem"), part, "l_partkey", hot)
+    return lookup_join(lines, part, "l_partkey", hot)
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line, all text as in a CSV drop."""
     orders = _orders(spark, sf_dir).withColumnRenamed("o_orderkey", "l_orderkey")
     hot = _hot(spark, sf_dir, "lineitem", "l_orderkey")
-    lines = lookup_join(_lines(spark, sf_dir), orders, "l_orderkey", hot)
+    lines = _lines(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+    lines = lookup_join(lines, orders, "l_orderkey", hot)
     price = F.col("p_retailprice") / 10
     status = (
         F.when(F.col("l_returnflag") == "N", " Completed ")
@@ -127,7 +146,7 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "Update")
         .otherwise("INSERT")
     )
-    return _lines(spark, sf_dir).select(
+    return _lines(spark, sf_dir, _spread(spark, sf_dir, "lineitem")).select(
         operation.alias("operation"),
         F.date_format(changed, "yyyy-MM-dd HH:mm:ss").alias("cdc_timestamp"),
         F.concat(F.lit("PROD-"), "l_partkey").alias("product_id"),
