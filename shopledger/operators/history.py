@@ -57,8 +57,12 @@ def versions(
 
 
 def current(version_table: DataFrame) -> DataFrame:
-    """The version of each key that has not ended."""
-    return version_table.filter(F.col(END).isNull())
+    """The version of each key that has not ended.
+
+    The second condition follows from the first. Unlike a test of the whole struct it reaches the
+    parquet scan, which then skips row groups holding ended versions only.
+    """
+    return version_table.filter(F.col(END).isNull() & F.col(f"{END}.{SEQUENCE[1]}").isNull())
 
 
 def current_from_changes(changes: DataFrame, key: str, delete: str | None = None) -> DataFrame:

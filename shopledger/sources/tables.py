@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def replace_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> DataFrame:
+def replace_table(df: DataFrame, path: str, sort_by: Sequence[str | Column] = ()) -> DataFrame:
     """Writes ``df`` over the table at ``path`` and returns it as read back.
 
     With ``sort_by`` each file is sorted, which keeps the key ranges of row groups narrow.
@@ -21,7 +21,9 @@ def replace_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> Data
     return df.sparkSession.read.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, sort_by: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition: str, sort_by: Sequence[str | Column]
+) -> None:
     """Replaces only the partitions that occur in ``df``.
 
     The rebalance hint gathers the rows of a partition and splits large ones over several tasks.

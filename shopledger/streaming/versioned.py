@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.operators.history import DELETED, START, version_all
+from shopledger.operators.history import DELETED, END, START, version_all
 from shopledger.operators.skew import GROUP_ROWS, hot_keys
 from shopledger.sources.tables import replace_partitions
 from shopledger.streaming.ingest import append_stream, drain
@@ -33,6 +33,11 @@ def log_changes(staged: DataFrame, log: str, checkpoint: str, key: str, buckets:
     append_stream(rows.repartition(BUCKET, "_part").drop("_part"), log, checkpoint, partition=BUCKET)
 
 
+def _write(built: DataFrame, table: str, key: str) -> None:
+    """Open versions apart from ended ones, so that reading the current state skips history."""
+    replace_partitions(built, table, BUCKET, [F.col(END).isNull(), key, START])
+
+
 def refresh_versions(
     spark: SparkSession,
     log: str,
@@ -50,7 +55,7 @@ def refresh_versions(
         touched = [row[BUCKET] for row in batch.select(BUCKET).distinct().collect()]
         changes = spark.read.parquet(log).filter(F.col(BUCKET).isin(touched))
         hot = hot_keys(changes, key, group_rows)
-        replace_partitions(version_all(changes, key, delete, hot), table, BUCKET, [key, START])
+        _write(version_all(changes, key, delete, hot), table, key)
 
     stream = spark.readStream.schema(schema).parquet(log)
     writer = stream.writeStream.foreachBatch(rebuild).trigger(availableNow=True)
@@ -63,7 +68,7 @@ def rebuild_versions(
     """Recomputes the whole version table from the log, as after a change of history."""
     changes = spark.read.parquet(log)
     built = version_all(changes, key, delete, hot_keys(changes, key))
-    replace_partitions(built, table, BUCKET, [key, START])
+    _write(built, table, key)
 
 
 def read_versions(spark: SparkSession, table: str) -> DataFrame:
