@@ -7,7 +7,7 @@ Detection reads one column. A missed key costs time, never rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from math import ceil
 from typing import Any
 
@@ -20,7 +20,7 @@ from shopledger.session import materialize
 Hot = Mapping[Any, int]
 
 GROUP_ROWS = 1_000_000
-MAX_SHARE = 1e-3
+MAX_SHARE = 1e-4
 SAMPLE_ROWS = 20_000_000
 
 
@@ -56,12 +56,27 @@ def merge_hot(*parts: Hot) -> dict[Any, int]:
     return merged
 
 
-def is_hot(key: str, hot: Hot) -> Column:
+def is_hot(key: str, hot: Collection[Any]) -> Column:
+    """Whether ``key``, which may be NULL, is one of the hot keys; never NULL itself."""
     known = [k for k in hot if k is not None]
     listed = F.col(key).isin(known) if known else F.col(key).isNull() & F.lit(False)
     return F.when(F.col(key).isNull(), F.lit(None in hot)).otherwise(listed)
 
 
+def _spread(key: str, hot: Hot) -> Column:
+    """Over how many tasks the rows of a key go: 1, or the next power of two for hot keys.
+
+    The sum over all hot keys stays below four times the reciprocal of the detection share.
+    """
+    by_size: dict[int, list[Any]] = {}
+    for value, splits in hot.items():
+        by_size.setdefault(1 << (splits - 1).bit_length(), []).append(value)
+    spread = F.lit(1)
+    for size, values in by_size.items():
+        spread = F.when(is_hot(key, values), size).otherwise(spread)
+    return spread
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, hot: Hot | None = None, null_safe: bool = False
 ) -> DataFrame:
@@ -73,11 +88,9 @@ def lookup_join(
     """
     on = [key]
     if hot:
-        spread = max(hot.values())
-        salt = F.pmod(F.xxhash64(*facts.columns), F.lit(spread)).cast("int")
-        facts = facts.withColumn("_salt", F.when(is_hot(key, hot), salt).otherwise(0))
-        copies = F.when(is_hot(key, hot), F.sequence(F.lit(0), F.lit(spread - 1)))
-        lookup = lookup.withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
+        facts = _salted(facts, key, hot)
+        copies = F.sequence(F.lit(0), _spread(key, hot) - 1)
+        lookup = lookup.withColumn("_salt", F.explode(copies))
         on.append("_salt")
     if not null_safe:
         return facts.join(lookup, on, "left").drop("_salt")
@@ -97,6 +110,13 @@ def _ranges(rows: DataFrame, key: str, order: Sequence[str], hot: Hot) -> DataFr
     return materialize(cut.withColumn("_slice", F.spark_partition_id()))
 
 
+def _salted(facts: DataFrame, key: str, hot: Hot) -> DataFrame:
+    content = F.xxhash64(*facts.columns)
+    salt = F.when(F.col("_spread") > 1, F.pmod(content, F.col("_spread"))).otherwise(0)
+    spread = facts.withColumn("_spread", _spread(key, hot))
+    return spread.withColumn("_salt", salt.cast("int")).drop("_spread")
+
+
 def with_next(
     rows: DataFrame,
     key: str,

@@ -11,13 +11,9 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def replace_table(df: DataFrame, path: str, sort_by: Sequence[str | Column] = ()) -> DataFrame:
-    """Writes ``df`` over the table at ``path`` and returns it as read back.
-
-    With ``sort_by`` each file is sorted, which keeps the key ranges of row groups narrow.
-    """
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Writes ``df`` over the table at ``path`` and returns it as read back."""
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -27,6 +23,7 @@ def replace_partitions(
     """Replaces only the partitions that occur in ``df``.
 
     The rebalance hint gathers the rows of a partition and splits large ones over several tasks.
+    Sorted files keep the ranges of their row groups narrow.
     """
     clustered = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
     writer = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -45,12 +42,8 @@ def register_table(
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)}")
-    if spark.catalog.getTable(name) and _is_partitioned(spark, name):
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
     if properties:
         listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
-
-
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(column.isPartition for column in spark.catalog.listColumns(name))

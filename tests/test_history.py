@@ -15,6 +15,7 @@ from shopledger.operators.history import (
     versions,
 )
 from shopledger.session import scratch_path
+from shopledger.streaming import versioned
 from shopledger.streaming.versioned import log_changes, read_versions, refresh_versions
 
 SCHEMA = (
@@ -201,3 +202,26 @@ def test_bucket_left_with_deletes_only_is_cleared(spark):
         log_changes(stream, f"{base}/log", f"{base}/s/log", "k", buckets=2)
         refresh_versions(spark, f"{base}/log", f"{base}/table", f"{base}/s/table", "k", DELETE)
     assert read_versions(spark, f"{base}/table").count() == (0 if kept._deleted else 1)
+
+
+@pytest.mark.parametrize("after_write", [False, True])
+def test_a_failed_refresh_is_repeated(spark, monkeypatch, after_write):
+    base = scratch_path(spark, "test-retry")
+    rows = [("a", "I", 1, 3, 3, "f"), ("b", "I", 2, 4, 4, "f"), ("a", "DELETE", 0, 9, 9, "f")]
+    changes(spark, rows).write.parquet(f"{base}/landing")
+    stream = spark.readStream.schema(changes(spark, []).schema).parquet(f"{base}/landing")
+    log_changes(stream, f"{base}/log", f"{base}/s/log", "k", buckets=2)
+    write = versioned.replace_partitions
+
+    def broken(*args):
+        if after_write:
+            write(*args)
+        raise RuntimeError("lost")
+
+    refresh = (spark, f"{base}/log", f"{base}/table", f"{base}/s/table", "k", DELETE)
+    monkeypatch.setattr(versioned, "replace_partitions", broken)
+    with pytest.raises(Exception, match="lost"):
+        refresh_versions(*refresh)
+    monkeypatch.setattr(versioned, "replace_partitions", write)
+    refresh_versions(*refresh)
+    assert spans(read_versions(spark, f"{base}/table")) == brute_force(rows)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from shopledger.operators.ranking import dense_rank_desc
 from shopledger.operators.skew import (
+    _salted,
+    _spread,
     hot_keys,
     is_hot,
     lookup_join,
@@ -60,13 +62,23 @@ def test_lookup_join_spreads_hot_rows(spark, skewed, rows_of, null_safe):
         [("big", "B"), ("k1", "one"), ("k2", "two"), (None, "none")], "k string, label string"
     )
     plain = lookup_join(skewed, lookup, "k", null_safe=null_safe)
-    spread = lookup_join(skewed, lookup, "k", {"big": 6, None: 2}, null_safe=null_safe)
+    spread = lookup_join(skewed, lookup, "k", {"big": 6, "k1": 1, None: 2}, null_safe=null_safe)
     assert spread.columns == plain.columns
     assert rows_of(spread) == rows_of(plain)
     labelled = {r.label for r in spread.filter(F.col("k").isNull()).collect()}
     assert labelled == ({"none"} if null_safe else {None})
 
 
+def test_only_lookup_rows_of_hot_keys_are_repeated(spark):
+    """The repeats follow the splits of each key, so one very hot key does not inflate the others."""
+    hot = {"big": 100, "mid": 3, None: 2}
+    keys = spark.createDataFrame([("big",), ("mid",), ("k1",), (None,)], "k string")
+    spreads = {r.k: r.n for r in keys.select("k", _spread("k", hot).alias("n")).collect()}
+    assert spreads == {"big": 128, "mid": 4, "k1": 1, None: 2}
+    salts = _salted(spark.range(5000).withColumn("k", F.lit("big")), "k", hot)
+    assert salts.select("_salt").distinct().count() == 128
+
+
 def test_with_next_equals_brute_force(skewed):
     got = with_next(skewed, "k", ["at", "id"], ["id"], "after", {"big": 6, None: 2})
     by_key = {}
