@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shopledger.operators.expectations import Rules, apply_expectations
 from shopledger.operators.history import current
@@ -14,7 +14,7 @@ from shopledger.operators.skew import hot_keys, merge_hot
 from shopledger.plans import facts, marts, rules
 from shopledger.plans.stage import stage_customers, stage_orders, stage_products
 from shopledger.sources.tables import register_table, replace_table
-from shopledger.streaming.ingest import ingest_csv, stream_ingested
+from shopledger.streaming.ingest import ingest_csv, observed_counts, stream_ingested
 from shopledger.streaming.versioned import log_changes, read_versions, refresh_versions
 
 
@@ -40,7 +40,7 @@ ENTITIES = (
     ),
     Entity(
         "products", "bronze_product", "silver_products", "product_id", stage_products,
-        {}, True, "operation = 'DELETE'",
+        rules.PRODUCTS, True, "operation = 'DELETE'",
     ),
 )
 
@@ -74,6 +74,8 @@ class Pipeline:
         self.base = base
         self.buckets = buckets
         self.now = now
+        # Rows and rule violations of the latest run, per source folder and per mart.
+        self.quality: dict[str, dict[str, int]] = {}
 
     def run(self) -> None:
         self.ingest()
@@ -107,7 +109,8 @@ class Pipeline:
         raw = stream_ingested(self.spark, self.path(f"bronze.{entity.ingested}"))
         staged = apply_expectations(entity.stage(raw, self.now), entity.rules, entity.folder)
         log = self.path(f"silver.{entity.versioned}_changes")
-        log_changes(staged, log, self.state("log", entity.folder), entity.key, self.buckets)
+        logged = log_changes(staged, log, self.state("log", entity.folder), entity.key, self.buckets)
+        self.quality[entity.folder] = observed_counts(logged, entity.folder)
         refresh_versions(
             self.spark,
             log,
@@ -155,7 +158,11 @@ class Pipeline:
             facts.order_customer_product_fact(orders, *dimensions, self.now, order_hot),
         )
         # Facts over current versions hold each order once.
-        self._save("gold.gold_daily_revenue", marts.daily_revenue(by_customer, unique_orders=True))
+        self._save(
+            "gold.gold_daily_revenue",
+            marts.daily_revenue(by_customer, unique_orders=True),
+            rules.DAILY_REVENUE,
+        )
         self._save(
             "gold.gold_customer_360",
             marts.customer_360(dimensions[0], by_customer, self.now, unique_orders=True),
@@ -167,10 +174,17 @@ class Pipeline:
         self._save(
             "gold.gold_order_customer_product_pit_fact",
             facts.pit_fact(orders, customers, products, self.now, pit_hot),
+            rules.PIT_FACT,
         )
 
-    def _save(self, name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, self.path(name))
+    def _save(self, name: str, df: DataFrame, rule_set: Rules | None = None) -> DataFrame:
+        if rule_set is None:
+            return replace_table(df, self.path(name))
+        # Counted while the rows are written, without another scan.
+        seen = Observation(name)
+        table = replace_table(apply_expectations(df, rule_set, seen), self.path(name))
+        self.quality[name] = seen.get
+        return table
 
     def register(self, properties: Mapping[str, str] | None = None) -> None:
         """Catalog entries with comments for facts and marts, and for the ingested tables' files."""

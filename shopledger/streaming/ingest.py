@@ -33,12 +33,24 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def append_stream(rows: DataFrame, target: str, checkpoint: str, partition: str | None = None) -> None:
+def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of the metrics observed under ``name`` over the latest micro-batches of a run."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(name)
+        for metric, count in row.asDict().items() if row else ():
+            totals[metric] = totals.get(metric, 0) + count
+    return totals
+
+
+def append_stream(
+    rows: DataFrame, target: str, checkpoint: str, partition: str | None = None
+) -> StreamingQuery:
     """Appends everything new to a parquet folder, each row exactly once."""
     writer = rows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition:
         writer = writer.partitionBy(partition)
-    drain(writer.option("path", target).option("checkpointLocation", checkpoint).start())
+    return drain(writer.option("path", target).option("checkpointLocation", checkpoint).start())
 
 
 def ingest_csv(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from shopledger.operators.history import DELETED, END, START, version_all
 from shopledger.operators.skew import GROUP_ROWS, hot_keys
@@ -19,7 +20,9 @@ from shopledger.streaming.ingest import append_stream, drain
 BUCKET = "_bucket"
 
 
-def log_changes(staged: DataFrame, log: str, checkpoint: str, key: str, buckets: int) -> None:
+def log_changes(
+    staged: DataFrame, log: str, checkpoint: str, key: str, buckets: int
+) -> StreamingQuery:
     """Appends the new rows of a staged stream to the change log.
 
     Rows of a bucket are gathered to keep files large. Each bucket still gets its share of the
@@ -30,7 +33,8 @@ def log_changes(staged: DataFrame, log: str, checkpoint: str, key: str, buckets:
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     part = F.pmod(F.spark_partition_id(), F.lit(max(writers, 1)))
     rows = staged.withColumns({BUCKET: bucket, "_part": part})
-    append_stream(rows.repartition(BUCKET, "_part").drop("_part"), log, checkpoint, partition=BUCKET)
+    gathered = rows.repartition(BUCKET, "_part").drop("_part")
+    return append_stream(gathered, log, checkpoint, partition=BUCKET)
 
 
 def _write(built: DataFrame, table: str, key: str) -> None:

@@ -47,6 +47,14 @@ def test_two_runs_with_late_and_changed_rows(spark, pipeline):
     pit = {r.order_id: r for r in pipeline.read("gold.gold_order_customer_product_pit_fact").collect()}
     assert set(pit) == {"ORD-1", "ORD-2"}  # the order without quantity was dropped
     assert (pit["ORD-1"].catalog_unit_price, pit["ORD-2"].product_sk) == (600.0, None)
+    assert pipeline.quality["orders"] == {
+        "rows": 3, "valid_order_id": 0, "valid_date": 0, "positive_quantity": 1, "positive_price": 0,
+    }
+    assert pipeline.quality["customers"] == {"rows": 2, "valid_email": 0, "customer_id_not_null": 0}
+    assert pipeline.quality["gold.gold_order_customer_product_pit_fact"] == {
+        "rows": 2, "has_order_id": 0, "has_customer_dim": 0, "has_product_dim": 1,
+    }
+    assert pipeline.quality["gold.gold_daily_revenue"]["rows"] == 2
 
     drop(
         pipeline.landing, "products", "p2.csv", PRODUCTS,
