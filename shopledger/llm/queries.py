@@ -3,15 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopledger.llm import chat, mixing, quality_rules
-from shopledger.llm.common import table
+from shopledger.llm import chat, compress_quality, line_dedup, mixing, packing, quality_rules, vptree
+from shopledger.llm.common import share_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(rows, F.col("vec_id") % 100 == 0)
+
+
+def op4_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return compress_quality.classify(documents, labels)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -20,12 +36,42 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = line_dedup.strip_lines(table(spark, sf_dir, "documents"))
+    text = F.md5(F.coalesce("text", F.lit("")))
+    return rows.select("doc_id", "source", dropped.alias("n_dropped"), text.alias("text_md5"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = chat.with_probe(table(spark, sf_dir, "conversations"))
     return chat.digests(chat.format_chat(conversations))
 
 
+def _reachable(build: Query) -> Query:
+    """Lets Python workers on this machine import the package from where the driver found it."""
+
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return build(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op7_mixing, op8_quality_rules, op10_chat_format)
+    f.__name__: _reachable(f)
+    for f in (
+        op1_vptree,
+        op4_compress_quality,
+        op6_packing,
+        op7_mixing,
+        op8_quality_rules,
+        op9_line_dedup,
+        op10_chat_format,
+    )
+}
+SQL = {
+    "op7_mixing": mixing.SQL,
+    "op9_line_dedup": line_dedup.SQL,
+    "op10_chat_format": chat.SQL,
 }
-SQL = {"op7_mixing": mixing.SQL, "op10_chat_format": chat.SQL}
