@@ -2,8 +2,8 @@
 
 Two zstandard dictionaries are trained, one on texts labelled good and one on texts labelled bad.
 A text's difference between its compressed sizes under the two, divided by its plain compressed
-size, says which kind it resembles; a logistic curve over it and over the plain compression ratio,
-fitted on labelled texts that the dictionaries have not seen, turns that into a score.
+size, says which kind it resembles; a logistic curve over it, the plain compression ratio and the
+size, fitted on labelled texts that the dictionaries have not seen, turns that into a probability.
 
 The model is fitted on a bounded sample of labelled rows: per class, texts in the order of a hash
 until ``sample_bytes`` are reached, half for the dictionaries and half for the curve. The scan
@@ -61,7 +61,9 @@ class Scorer:
         good, bad = len(self.good.compress(text)), len(self.bad.compress(text))
         gain = (bad - good) / plain
         ratio = np.log(plain / (len(text) + 16.0))
-        return [1.0, gain, ratio, gain * gain, gain * ratio, ratio * ratio]
+        size = np.log(len(text) + 16.0)
+        inputs = (1.0, gain, ratio, size)
+        return [a * b for i, a in enumerate(inputs) for b in inputs[i:]]
 
     def score(self, text: bytes) -> float:
         if not self.weights.any():
@@ -70,8 +72,11 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(good: list[bytes], bad: list[bytes]) -> Model:
-    """Dictionaries from the first half of each list, the curve from the second."""
+def fit(good: list[bytes], bad: list[bytes], share_good: float = 0.5) -> Model:
+    """Dictionaries from the first half of each list, the curve from the second.
+
+    ``share_good`` is the share of good labels among all, which the sample need not have.
+    """
     if len(good) < 16 or len(bad) < 16:
         return Model(b"", b"", (0.0,))
     trained = []
@@ -84,8 +89,7 @@ def fit(good: list[bytes], bad: list[bytes]) -> Model:
     held = [(t, 1.0) for t in good[len(good) // 2 :]] + [(t, 0.0) for t in bad[len(bad) // 2 :]]
     x = np.array([scorer.features(t) for t, _ in held])
     y = np.array([label for _, label in held])
-    # Classes weigh alike, so 0.5 parts them however rare the bad ones are.
-    w = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    w = np.where(y == 1, share_good / y.mean(), (1 - share_good) / (1 - y.mean()))
     return Model(start.good, start.bad, tuple(logistic(x, y, w)))
 
 
@@ -121,6 +125,7 @@ def held_out(doc_id: Column) -> Column:
 def train(documents: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    counts = {row["quality"]: row["count"] for row in known.groupBy("quality").count().collect()}
     texts = []
     for quality in (1, 0):
         chosen = known.filter(F.col("quality") == quality)
@@ -142,7 +147,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BY
         for row in rows.filter(F.col("_order") <= upto).orderBy("_order").select("text").collect():
             found.append(row["text"].encode("utf-8", "replace"))
         texts.append(found)
-    return fit(*texts)
+    return fit(*texts, counts.get(1, 0) / max(1, sum(counts.values())))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:

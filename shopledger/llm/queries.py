@@ -8,7 +8,17 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import chat, compress_quality, line_dedup, mixing, packing, quality_rules, vptree
+from shopledger.llm import (
+    chat,
+    compress_quality,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    vptree,
+)
 from shopledger.llm.common import share_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +29,19 @@ def op1_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(rows, F.col("vec_id") % 100 == 0)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op4_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return compress_quality.classify(documents, labels)
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -62,7 +80,9 @@ QUERIES: dict[str, Query] = {
     f.__name__: _reachable(f)
     for f in (
         op1_vptree,
+        op2_pii,
         op4_compress_quality,
+        op5_near_dedup,
         op6_packing,
         op7_mixing,
         op8_quality_rules,

@@ -27,7 +27,7 @@ from shopledger.llm.common import settle
 
 SHARD_ROWS = 2_048
 LEAF = 64
-FACTOR = 0.85
+FACTOR = 0.75
 BLOCK = 512
 
 
