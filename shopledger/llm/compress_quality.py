@@ -150,21 +150,24 @@ def train(documents: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BY
     return fit(*texts, counts.get(1, 0) / max(1, sum(counts.values())))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``__score`` added; one pass, nothing shuffled."""
+def accepted(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents with a score of 0.5 or more, in their own columns; nothing is shuffled."""
     names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for batch in batches:
-            text = batch.column(batch.num_columns - 1)
-            marks = [scorer.score((t.as_py() or "").encode("utf-8", "replace")) for t in text]
-            columns = [*batch.columns[:-1], pa.array(marks, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "__score"])
+            texts = batch.column(batch.num_columns - 1)
+            keep = [scorer.score(encoded(t)) >= 0.5 for t in texts]
+            columns = [c.filter(pa.array(keep)) for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = documents.select(*[documents[n] for n in names], body().alias("__text"))
-    schema = documents.schema.add("__score", "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, documents.schema)
+
+
+def encoded(text: pa.Scalar) -> bytes:
+    return (text.as_py() or "").encode("utf-8", "replace")
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -183,7 +186,7 @@ def _score_only(rows: DataFrame, model: Model) -> DataFrame:
         scorer = model.scorer()
         for batch in batches:
             texts = batch.column("text")
-            marks = [scorer.score((t.as_py() or "").encode("utf-8", "replace")) for t in texts]
+            marks = [scorer.score(encoded(t)) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(marks, pa.float64())],
                 names=["doc_id", "held_out", "score"],

@@ -367,3 +367,20 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(documents: DataFrame, **options: int) -> DataFrame:
+    """The documents kept: of each group the one with the smallest id, in their own columns.
+
+    Where ids repeat, one row of the id stays.
+    """
+    found = settle(near_duplicates(documents, **options), "dup-result")
+    ids = found.filter("kept").groupBy("doc_id").count()
+    ids = settle(ids.withColumnsRenamed({"doc_id": "__id", "count": "__n"}), "dup-kept")
+    same = documents["doc_id"].eqNullSafe(F.col("__id"))
+    kept = documents.join(ids, same).drop("__id")
+    if ids.filter("__n > 1 AND __id IS NOT NULL").isEmpty():
+        return kept.drop("__n")
+    single = kept.filter("__n = 1 OR doc_id IS NULL").drop("__n")
+    repeated = kept.filter("__n > 1 AND doc_id IS NOT NULL").drop("__n")
+    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
