@@ -14,6 +14,7 @@ from shopledger.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    ngram_trie,
     packing,
     pii,
     quality_rules,
@@ -33,6 +34,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op3_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score(table(spark, sf_dir, "documents"))
+
+
 def op4_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return compress_quality.classify(documents, labels)
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_vptree,
         op2_pii,
+        op3_ngram_trie,
         op4_compress_quality,
         op5_near_dedup,
         op6_packing,
