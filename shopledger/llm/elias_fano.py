@@ -96,15 +96,14 @@ class Sequence:
         stop[inner] = self._select(known[inner], self._zeros, True) - known[inner]
         start, stop = np.minimum(start, self.n), np.minimum(stop, self.n)
         want = x & np.uint64((1 << self.low_bits) - 1)
-        lo, hi = start, stop
-        while True:
-            live = lo < hi
-            if not live.any():
-                return lo
-            mid = (lo + hi) >> 1
-            below = live & (self._lows(np.minimum(mid, max(self.n - 1, 0))) < want)
-            lo = np.where(below, mid + 1, lo)
-            hi = np.where(live & ~below, mid, hi)
+        live = np.flatnonzero(start < stop)
+        while len(live):
+            mid = (start[live] + stop[live]) >> 1
+            below = self._lows(mid) < want[live]
+            start[live[below]] = mid[below] + 1
+            stop[live[~below]] = mid[~below]
+            live = live[start[live] < stop[live]]
+        return start
 
 
 class Trie:

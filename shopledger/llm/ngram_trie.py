@@ -35,7 +35,7 @@ from shopledger.llm.common import body, settle, token_list
 from shopledger.llm.elias_fano import Trie, mapped
 
 BATCH_CHARS = 4_000_000
-SHARD_PAIRS = 3_000_000
+SHARD_PAIRS = 2_000_000
 STRENGTH = 64.0
 WORD_BITS, BEFORE_BITS = 56, 40
 LEVELS = 255
@@ -322,30 +322,36 @@ def base_probability(counts: np.ndarray, tokens: int, words: int) -> np.ndarray:
     return (counts + 1.0) / (tokens + words + 1.0)
 
 
-def build_trie(
-    asked: list[dict], tokens: int, words: int, strength: float
-) -> bytes:
+class Asked:
+    """All requests to one shard: distinct words and pairs, and where each request finds its own."""
+
+    def __init__(self, rows: list[dict]) -> None:
+        self.batches = [row["batch"] for row in rows]
+        words = [np.cumsum(opened(row["words"], np.uint64)) for row in rows]
+        self.word_ends = np.cumsum([len(w) for w in words])
+        fans = [opened(row["fan"], np.int32) for row in rows]
+        self.pair_ends = np.cumsum([int(f.sum()) for f in fans])
+        self.words, self.word_at = np.unique(np.concatenate(words), return_inverse=True)
+        counts = np.concatenate([opened(row["counts"], np.int64) for row in rows])
+        self.counts = np.zeros(len(self.words), np.int64)
+        np.add.at(self.counts, self.word_at, counts)
+        owner = np.repeat(self.word_at, np.concatenate(fans)).astype(np.uint64)
+        before = np.concatenate([widened(row["before"]) for row in rows])
+        key = (owner << np.uint64(BEFORE_BITS)) | before
+        self.pairs, self.pair_at = np.unique(key, return_inverse=True)
+        seen = np.concatenate([opened(row["pair_counts"], np.int32) for row in rows])
+        self.seen = np.bincount(self.pair_at, seen, len(self.pairs)).astype(np.int64)
+        self.owner = (self.pairs >> np.uint64(BEFORE_BITS)).astype(np.int64)
+        self.before = self.pairs & np.uint64((1 << BEFORE_BITS) - 1)
+
+
+def build_trie(asked: Asked, tokens: int, words: int, strength: float) -> bytes:
     """The packed trie of one shard from all requests' training counts."""
-    hashes = np.concatenate([a["words"] for a in asked])
-    counts = np.concatenate([a["counts"] for a in asked])
-    last, at = np.unique(hashes[counts > 0], return_inverse=True)
-    totals = np.zeros(len(last), np.int64)
-    np.add.at(totals, at, counts[counts > 0])
-    parent, before, seen = [], [], []
-    for a in asked:
-        learned = a["pair_counts"] > 0
-        owner = np.repeat(a["words"], a["fan"])[learned]
-        parent.append(np.searchsorted(last, owner))
-        before.append(a["before"][learned])
-        seen.append(a["pair_counts"][learned])
-    parent, before, seen = map(np.concatenate, (parent, before, seen))
-    order = np.lexsort((before, parent))
-    parent, before, seen = parent[order], before[order], seen[order]
-    first = np.ones(len(parent), bool)
-    first[1:] = (parent[1:] != parent[:-1]) | (before[1:] != before[:-1])
-    starts = np.flatnonzero(first)
-    seen = np.add.reduceat(seen, starts) if len(starts) else seen
-    parent, before = parent[starts], before[starts]
+    learned = asked.counts > 0
+    last, totals = asked.words[learned], asked.counts[learned]
+    place = np.cumsum(learned) - 1
+    known = asked.seen > 0
+    parent, before, seen = place[asked.owner[known]], asked.before[known], asked.seen[known]
     weight = seen + strength * base_probability(totals[parent], tokens, words)
     codes = quantised(np.log10(weight), tokens)
     return Trie.pack(last, totals, parent, before, codes, (WORD_BITS, BEFORE_BITS))
@@ -361,33 +367,23 @@ def quantised(logs: np.ndarray, tokens: int) -> np.ndarray:
     return (np.clip(np.rint(logs / step(tokens)), 0, LEVELS - 1) + 1).astype(np.uint8)
 
 
-def answer(
-    requests: DataFrame, tokens: int, words: int, strength: float
-) -> DataFrame:
+def answer(requests: DataFrame, tokens: int, words: int, strength: float) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
-        asked = []
-        for row in rows.to_pylist():
-            asked.append(
-                {
-                    "batch": row["batch"],
-                    "words": np.cumsum(opened(row["words"], np.uint64)),
-                    "counts": opened(row["counts"], np.int64),
-                    "fan": opened(row["fan"], np.int32),
-                    "before": widened(row["before"]),
-                    "pair_counts": opened(row["pair_counts"], np.int32).astype(np.int64),
-                }
-            )
-        out = {"batch": [], "shard": [], "counts": [], "codes": []}
-        compress = zstandard.ZstdCompressor(level=1).compress
+        asked = Asked(rows.to_pylist())
         with mapped(build_trie(asked, tokens, words, strength)) as trie:
-            for a in asked:
-                at = trie.find_last(a["words"])
-                known = np.where(at >= 0, trie.counts[at] if trie.last.n else 0, 0)
-                codes = trie.find_pairs(np.repeat(at, a["fan"]), a["before"])
-                out["batch"].append(a["batch"])
-                out["shard"].append(rows["shard"][0].as_py())
-                out["counts"].append(shut(known.astype(np.int64)))
-                out["codes"].append(compress(codes.tobytes()))
+            at = trie.find_last(asked.words)
+            counts = np.zeros(len(at), np.int64)
+            counts[at >= 0] = trie.counts[at[at >= 0]]
+            codes = trie.find_pairs(at[asked.owner], asked.before)
+        shard = rows["shard"][0].as_py()
+        compress = zstandard.ZstdCompressor(level=1).compress
+        out = {"batch": asked.batches, "shard": [shard] * len(asked.batches)}
+        out["counts"] = [
+            shut(part) for part in np.split(counts[asked.word_at], asked.word_ends[:-1])
+        ]
+        out["codes"] = [
+            compress(part.tobytes()) for part in np.split(codes[asked.pair_at], asked.pair_ends[:-1])
+        ]
         schema = [("batch", pa.int64()), ("shard", pa.int32())]
         schema += [("counts", pa.binary()), ("codes", pa.binary())]
         return pa.table(out, schema=pa.schema(schema))
