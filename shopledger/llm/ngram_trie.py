@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from shopledger.llm.common import body, settle, token_list
 from shopledger.llm.elias_fano import Trie, mapped
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 6_000_000
 SHARD_PAIRS = 2_000_000
 STRENGTH = 64.0
 WORD_BITS, BEFORE_BITS = 56, 40
@@ -58,7 +58,7 @@ def trained(doc_id: Column) -> Column:
 def shut(values: np.ndarray) -> bytes:
     """An array compressed by byte planes."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def opened(raw: bytes, kind: type, n: int | None = None) -> np.ndarray:
@@ -81,7 +81,7 @@ def widened(raw: bytes) -> np.ndarray:
 
 def shut_narrow(hashes: np.ndarray) -> bytes:
     planes = np.ascontiguousarray(narrow(hashes).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 # ---- encoding ---------------------------------------------------------------------------------
