@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import WORD, body
+from shopledger.llm.common import WORD, body, settle
 
 RATIO = 0.05
 LEAST_PAGES = 20
@@ -72,7 +72,8 @@ def strip_lines(
     """
     bad = boilerplate(pages, host, ratio, least_pages, text)
     lists = bad.groupBy("host").agg(F.collect_set("line_hash").alias("__bad"))
-    lists = lists.withColumnRenamed("host", "__host")
+    # Written, so that Spark knows its size and broadcasts it only where that is small.
+    lists = settle(lists.withColumnRenamed("host", "__host"), "line-lists")
     same = F.col("__of").eqNullSafe(F.col("__host"))
     rows = pages.withColumn("__of", F.col(host).cast("string")).join(lists, same, "left")
     known = F.coalesce(F.col("__bad"), F.array().cast("array<string>"))
