@@ -114,6 +114,12 @@ def cuts(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     return planned.drop("_of", "_rest")
 
 
+def plan_mix(sizes: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """The cuts, written: Spark knows their size and broadcasts them only where that is small."""
+    goals = settle(targets(sizes, weights, most), "mix-targets")
+    return settle(cuts(sizes, goals).withColumnRenamed("source", "_of"), "mix-plan")
+
+
 def taken(size: Column, key: Column) -> Column:
     """Words the mix takes of a document, from the columns of ``cuts``."""
     more = F.when(key < F.col("cut_key"), size).when(key == F.col("cut_key"), F.col("cut_words"))
@@ -125,7 +131,7 @@ def mix(
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken per document."""
     sizes = settle(sized(documents), "mix-sizes")
-    plan = cuts(sizes, targets(sizes, weights, most)).withColumnRenamed("source", "_of")
+    plan = plan_mix(sizes, weights, most)
     joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("_of")))
     give = taken(F.col("size"), F.col("key")).alias("taken")
     return joined.select("doc_id", "size", "source_size", "target", give)
@@ -139,7 +145,7 @@ def mixed(
     Documents are scanned for sizes and again for the result; their texts are never shuffled.
     """
     sizes = settle(sized(documents), "mix-sizes")
-    plan = cuts(sizes, targets(sizes, weights, most)).withColumnRenamed("source", "_of")
+    plan = plan_mix(sizes, weights, most)
     names = documents.columns
     text = body()
     rows = documents.select(
