@@ -90,7 +90,7 @@ def fit(good: list[bytes], bad: list[bytes], share_good: float = 0.5) -> Model:
     x = np.array([scorer.features(t) for t, _ in held])
     y = np.array([label for _, label in held])
     w = np.where(y == 1, share_good / y.mean(), (1 - share_good) / (1 - y.mean()))
-    return Model(start.good, start.bad, tuple(logistic(x, y, w)))
+    return Model(start.good, start.bad, tuple(map(float, logistic(x, y, w))))
 
 
 def dictionary(texts: list[bytes], size: int) -> bytes:
@@ -102,18 +102,37 @@ def dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(texts)[:size]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weighted ridge logistic regression by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.03) -> np.ndarray:
+    """Weighted ridge logistic regression by Newton's method.
+
+    Inputs are standardised (the first is the constant) and every step is halved until the loss
+    falls: nearly separable classes would send plain steps to infinity.
+    """
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    mean[0], scale[0] = 0.0, 1.0
+    scale[scale == 0] = 1.0
+    z = (x - mean) / scale
+    penalty = np.full(x.shape[1], ridge)
+    penalty[0] = 1e-6
+
+    def loss(beta: np.ndarray) -> float:
+        margin = z @ beta
+        return float(w @ (np.logaddexp(0, margin) - y * margin) + penalty @ beta**2 / 2)
+
     beta = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (w * (y - p)) - ridge * beta
-        curve = (x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(curve, slope)
-        beta += step
-        if np.abs(step).max() < 1e-8:
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -500, 500)))
+        slope = z.T @ (w * (y - p)) - penalty * beta
+        curve = (z * (w * p * (1 - p))[:, None]).T @ z + np.diag(penalty)
+        step, size, now = np.linalg.solve(curve, slope), 1.0, loss(beta)
+        while loss(beta + size * step) > now and size > 1e-9:
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-7:
             break
-    return beta
+    weights = beta / scale
+    weights[0] -= float(weights @ mean)
+    return weights
 
 
 def held_out(doc_id: Column) -> Column:
