@@ -1,0 +1,45 @@
+"""The registered training-data queries and the pipeline on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from shopledger.llm.queries import QUERIES, SQL
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not present")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, name):
+    got = QUERIES[name](spark, SF_DIR)
+    columns = sorted(got.columns)
+    rows = sorted((tuple(r) for r in got.select(*columns).collect()), key=repr)
+    assert rows
+    if name in SQL:
+        connection = duckdb.connect()
+        for file in os.listdir(SF_DIR):
+            connection.execute(f"create view {file.split('.')[0]} as select * from '{SF_DIR}/{file}'")
+        answer = connection.execute(SQL[name])
+        names = [d[0] for d in answer.description]
+        want = [tuple(dict(zip(names, row))[c] for c in columns) for row in answer.fetchall()]
+        assert rows == sorted(want, key=repr)
+
+
+def test_stages_keep_columns_and_follow_each_other(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    before = docs
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        after = corpus_pipeline.settle(stage(spark, before, SF_DIR), name)
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert after.columns == docs.columns, name
+        assert after.count() > 0
+        before = after
+    # Without documents every stage gives none.
+    nothing = docs.filter("false")
+    for name, stage in corpus_pipeline.STAGES:
+        nothing = corpus_pipeline.settle(stage(spark, nothing, SF_DIR), name)
+    assert nothing.count() == 0
