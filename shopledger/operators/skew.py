@@ -21,6 +21,8 @@ Hot = Mapping[Any, int]
 
 GROUP_ROWS = 1_000_000
 MAX_SHARE = 1e-4
+# No key above this stays in one task, however large the table is.
+TASK_ROWS = 5_000_000
 SAMPLE_ROWS = 20_000_000
 
 
@@ -33,15 +35,18 @@ def hot_keys(
 ) -> dict[Any, int]:
     """Keys (NULL included) holding more than ``group_rows`` rows and ``max_share`` of the table.
 
-    The share bounds the answer to about ``1 / max_share`` keys. Large tables are counted on a
-    sample of about ``sample_rows``; it only steers the split, the rows themselves all stay.
+    The share keeps the answer short, at about ``1 / max_share`` keys, until it would leave more
+    than ``TASK_ROWS`` rows of a key to one task; from there on the limit stays where it is. Large
+    tables are counted on a sample of about ``sample_rows``, larger where the limit is a smaller
+    share of the table; it only steers the split, the rows themselves all stay.
     """
     keys = df.select(F.col(key).alias("key"))
     total = keys.count()
-    limit = max(group_rows, total * max_share)
+    limit = max(group_rows, min(total * max_share, TASK_ROWS))
     if total <= limit:
         return {}
-    fraction = min(1.0, sample_rows / total)
+    # A key at the limit is met about a thousand times in the sample.
+    fraction = min(1.0, max(sample_rows / total, 1000 / limit))
     counted = keys if fraction == 1.0 else keys.sample(fraction=fraction, seed=11)
     found = counted.groupBy("key").count().filter(F.col("count") > limit * fraction).collect()
     return {row["key"]: ceil(row["count"] / fraction / limit) for row in found}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,9 +14,31 @@ from shopledger.operators.history import current
 from shopledger.operators.skew import hot_keys, merge_hot
 from shopledger.plans import facts, marts, rules
 from shopledger.plans.stage import stage_customers, stage_orders, stage_products
-from shopledger.sources.tables import register_table, replace_table
-from shopledger.streaming.ingest import ingest_csv, observed_counts, stream_ingested
-from shopledger.streaming.versioned import log_changes, read_versions, refresh_versions
+from shopledger.sources.tables import (
+    read_table,
+    register_table,
+    register_view,
+    replace_table,
+    table_path,
+)
+from shopledger.streaming.ingest import (
+    FILES,
+    backfill,
+    counted_run,
+    flow_paths,
+    flow_schema,
+    ingest_csv_evolving,
+    read_ingested,
+    stream_ingested,
+    table_schema,
+)
+from shopledger.streaming.versioned import (
+    DELETED,
+    contract_columns,
+    log_changes,
+    read_versions,
+    refresh_versions,
+)
 
 
 @dataclass(frozen=True)
@@ -68,12 +91,15 @@ class Pipeline:
         base: str,
         buckets: int = 256,
         now: datetime | str | None = None,
+        history: Mapping[str, str] | None = None,
     ) -> None:
+        """``history``: parquet folders by source folder, taken in once before anything else."""
         self.spark = spark
         self.landing = landing
         self.base = base
         self.buckets = buckets
         self.now = now
+        self.history = dict(history or {})
         # Rows and rule violations of the latest run, per source folder and per mart.
         self.quality: dict[str, dict[str, int]] = {}
 
@@ -91,14 +117,15 @@ class Pipeline:
 
     def ingest(self) -> None:
         """New files of every source. A failing source does not stop the others."""
-        self._each(
-            lambda e: ingest_csv(
-                self.spark,
-                f"{self.landing}/{e.folder}",
-                self.path(f"bronze.{e.ingested}"),
-                self.state("ingest", e.folder),
-                e.infer,
-            )
+        self._each(self._ingest)
+
+    def _ingest(self, entity: Entity) -> None:
+        target = self.path(f"bronze.{entity.ingested}")
+        state = self.state("ingest", entity.folder)
+        if entity.folder in self.history:
+            backfill(self.spark, self.history[entity.folder], target, state)
+        ingest_csv_evolving(
+            self.spark, f"{self.landing}/{entity.folder}", target, state, entity.infer
         )
 
     def refine(self) -> None:
@@ -106,11 +133,18 @@ class Pipeline:
         self._each(self._refine)
 
     def _refine(self, entity: Entity) -> None:
-        raw = stream_ingested(self.spark, self.path(f"bronze.{entity.ingested}"))
+        table, ingested = self.path(f"bronze.{entity.ingested}"), self.state("ingest", entity.folder)
+        raw = stream_ingested(self.spark, table, state=ingested)
+        # Keys hot among all rows so far; they only decide how many tasks write them.
+        hot = hot_keys(read_ingested(self.spark, table, ingested), entity.key)
         staged = apply_expectations(entity.stage(raw, self.now), entity.rules, entity.folder)
         log = self.path(f"silver.{entity.versioned}_changes")
-        logged = log_changes(staged, log, self.state("log", entity.folder), entity.key, self.buckets)
-        self.quality[entity.folder] = observed_counts(logged, entity.folder)
+        state = self.state("log", entity.folder)
+        self.quality[entity.folder] = counted_run(
+            self.spark,
+            entity.folder,
+            lambda: log_changes(staged, log, state, entity.key, self.buckets, hot),
+        )
         refresh_versions(
             self.spark,
             log,
@@ -122,11 +156,11 @@ class Pipeline:
 
     def _each(self, step: Callable[[Entity], None]) -> None:
         failures: dict[str, Exception] = {}
-        for entity in ENTITIES:
-            try:
-                step(entity)
-            except Exception as error:
-                failures[entity.folder] = error
+        with ThreadPoolExecutor(len(ENTITIES)) as pool:
+            running = {entity.folder: pool.submit(step, entity) for entity in ENTITIES}
+        for folder, outcome in running.items():
+            if error := outcome.exception():
+                failures[folder] = error
         if failures:
             names = ", ".join(failures)
             raise RuntimeError(f"failed sources: {names}") from next(iter(failures.values()))
@@ -135,7 +169,8 @@ class Pipeline:
         return read_versions(self.spark, self.path(f"silver.{table}"))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A published fact or mart."""
+        return read_table(self.spark, self.path(name))
 
     def publish(self) -> None:
         """Facts and marts, recomputed in full from the version tables."""
@@ -187,14 +222,38 @@ class Pipeline:
         return table
 
     def register(self, properties: Mapping[str, str] | None = None) -> None:
-        """Catalog entries with comments for facts and marts, and for the ingested tables' files."""
-        for name, comment in COMMENTS.items():
-            layer = name.split(".")[0]
-            path = self.path(name) + ("/files" if layer == "bronze" else "")
-            register_table(self.spark, name, path, comment, {"layer": layer, **(properties or {})})
+        """Catalog entries: views over all flows of ingested tables and over the versions without
+        delete changes and helper columns, tables for facts and marts as last published."""
+        extra = dict(properties or {})
         for entity in ENTITIES:
+            name = f"bronze.{entity.ingested}"
+            query = self._ingested_query(entity)
+            register_view(self.spark, name, query, COMMENTS[name], {"layer": "bronze", **extra})
             name = f"silver.{entity.versioned}"
-            comment = f"Versions per {entity.key}; rows with _deleted mark deletions"
-            register_table(
-                self.spark, name, self.path(name), comment, {"layer": "silver", **(properties or {})}
-            )
+            columns = ", ".join(f"`{c}`" for c in contract_columns(self.spark, self.path(name)))
+            query = f"SELECT {columns} FROM parquet.`{self.path(name)}` WHERE NOT {DELETED}"
+            comment = f"Versions per {entity.key}"
+            register_view(self.spark, name, query, comment, {"layer": "silver", **extra})
+        for name, comment in COMMENTS.items():
+            layer = name.split(".")[0]
+            if layer != "bronze":
+                path = table_path(self.spark, self.path(name))
+                register_table(self.spark, name, path, comment, {"layer": layer, **extra})
+
+    def _ingested_query(self, entity: Entity) -> str:
+        """A catalog table per flow, and the query that unites them under the stored schema."""
+        table = self.path(f"bronze.{entity.ingested}")
+        schema = table_schema(self.spark, table, self.state("ingest", entity.folder))
+        parts = []
+        for flow, path in flow_paths(self.spark, table).items():
+            have = flow_schema(self.spark, flow, path, schema)
+            name = f"bronze.{entity.ingested}_{flow}"
+            batch = "batch" if flow == FILES else None
+            register_table(self.spark, name, path, f"Flow {flow}", schema=have, partition=batch)
+            shown = [
+                f"try_cast({f'`{f.name}`' if f.name in have.names else 'NULL'}"
+                f" AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in schema
+            ]
+            parts.append(f"SELECT {', '.join(shown)} FROM {name}")
+        return " UNION ALL ".join(parts)

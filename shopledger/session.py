@@ -27,13 +27,19 @@ def build_session(app: str = "shopledger", master: str | None = None, **conf: ob
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only if none is set."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local master, whose tasks share one machine, may do without: it gets a temporary one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return root
     if not spark.sparkContext.getCheckpointDir():
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shopledger-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 # The lineage columns and the column for text that does not fit the stored type.
 LINEAGE = ("_ingest_ts", "_file_mod_time", "_source_file")
@@ -15,18 +15,30 @@ RESCUED = "_rescued_data"
 
 
 def read_schema(spark: SparkSession, path: str) -> StructType | None:
-    """A schema saved by ``save_schema``, or None."""
+    """The latest schema saved by ``save_schema``, or None."""
+    latest = latest_row(spark, path, "version long, value string")
+    return StructType.fromJson(json.loads(latest.value)) if latest else None
+
+
+def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """A new version beside the old ones, so that a failed write leaves the old one readable."""
+    append_row(spark, path, "version long, value string", schema.json())
+
+
+def latest_row(spark: SparkSession, path: str, columns: str) -> Row | None:
+    """The row of the highest version of a small append-only file set, or None."""
     try:
-        row = spark.read.text(path, wholetext=True).first()
+        return spark.read.schema(columns).json(path).orderBy(F.col("version").desc()).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return StructType.fromJson(json.loads(row.value)) if row else None
 
 
-def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def append_row(spark: SparkSession, path: str, columns: str, value: object) -> None:
+    latest = latest_row(spark, path, columns)
+    row = (latest.version + 1 if latest else 0, value)
+    spark.createDataFrame([row], columns).coalesce(1).write.mode("append").json(path)
 
 
 def file_schema(spark: SparkSession, source: str, infer: bool) -> StructType:
@@ -54,6 +66,13 @@ def csv_options(schema: StructType) -> dict[str, str]:
     return options
 
 
+def ingested_schema(stored: StructType) -> StructType:
+    """What an ingested table holds: the source's columns and the lineage."""
+    types = (TimestampType(), TimestampType(), StringType())
+    lineage = [StructField(name, kind) for name, kind in zip(LINEAGE, types)]
+    return StructType([*stored.fields, *lineage])
+
+
 def with_lineage(raw: DataFrame) -> DataFrame:
     """All source columns plus ingest time, file modification time and file path."""
     return raw.select(

@@ -5,6 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from shopledger.sources.files import append_row, latest_row
+
+
+VERSIONS, SLOT = "versions", "content-"
+VERSION = "version long, slot int"
 
 
 def _quoted(text: str) -> str:
@@ -12,9 +19,29 @@ def _quoted(text: str) -> str:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Writes ``df`` over the table at ``path`` and returns it as read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Writes ``df`` as the new content of the table at ``path`` and returns it as read back.
+
+    The table has two folders in turn and a version row that names the one to read, appended once
+    the new one is complete. A failed write leaves readers with the old content.
+    """
+    spark = df.sparkSession
+    latest = latest_row(spark, f"{path}/{VERSIONS}", VERSION)
+    slot = 1 - latest.slot if latest else 0
+    df.write.mode("overwrite").parquet(f"{path}/{SLOT}{slot}")
+    append_row(spark, f"{path}/{VERSIONS}", VERSION, slot)
+    return read_table(spark, path)
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the current content of a table written by ``replace_table``."""
+    latest = latest_row(spark, f"{path}/{VERSIONS}", VERSION)
+    if latest is None:
+        raise FileNotFoundError(f"no table was published at {path}")
+    return f"{path}/{SLOT}{latest.slot}"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(table_path(spark, path))
 
 
 def replace_partitions(
@@ -36,14 +63,41 @@ def register_table(
     path: str,
     comment: str = "",
     properties: Mapping[str, str] | None = None,
+    schema: StructType | None = None,
+    partition: str | None = None,
 ) -> None:
-    """Catalog entry ``layer.table`` over a parquet path; creates the layer when missing."""
+    """Catalog entry ``layer.table`` over a parquet path; creates the layer when missing.
+
+    Without ``schema`` the columns are those of a file; ``partition`` names a numeric folder column.
+    """
     layer = name.split(".")[0]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)}")
+    columns, folders = "", ""
+    if schema is not None:
+        listed = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
+        columns = f"({', '.join([*listed, *([f'{partition} INT'] if partition else [])])})"
+        folders = f"PARTITIONED BY ({partition})" if partition else ""
+    spark.sql(
+        f"CREATE TABLE {name} {columns} USING parquet {folders}"
+        f" LOCATION {_quoted(path)} COMMENT {_quoted(comment)}"
+    )
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
     if properties:
         listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+
+
+def register_view(
+    spark: SparkSession,
+    name: str,
+    query: str,
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Catalog view ``layer.table`` over a query on paths."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
+    listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in (properties or {}).items())
+    extra = f"TBLPROPERTIES ({listed})" if listed else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)} {extra} AS {query}")

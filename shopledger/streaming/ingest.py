@@ -6,16 +6,21 @@ whose checkpoint remembers the files it has read.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import time
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shopledger.sources.files import (
+    RESCUED,
     csv_options,
+    ingested_schema,
     read_schema,
     save_schema,
     stored_schema,
@@ -33,14 +38,56 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sums of the metrics observed under ``name`` over the latest micro-batches of a run."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for metric, count in row.asDict().items() if row else ():
-            totals[metric] = totals.get(metric, 0) + count
-    return totals
+class _Counter(StreamingQueryListener):
+    """Observed metrics of every micro-batch of the queries that observe ``name``."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.batches: dict[tuple[str, int], dict[str, int]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None:
+            self.batches[str(event.progress.runId), event.progress.batchId] = row.asDict()
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        self.ended.add(str(event.runId))
+
+    def totals(self) -> dict[str, int]:
+        sums: dict[str, int] = {}
+        for counts in self.batches.values():
+            for metric, count in counts.items():
+                sums[metric] = sums.get(metric, 0) + count
+        return sums
+
+
+def counted_run(
+    spark: SparkSession, name: str, run: Callable[[], StreamingQuery], patience: float = 300.0
+) -> dict[str, int]:
+    """Runs a query to its end and sums what it observed under ``name``, over all micro-batches.
+
+    The query's own progress list keeps the latest micro-batches only, so events are counted as
+    they come; they are delivered in order, and the last one says that the query has ended.
+    """
+    counter = _Counter(name)
+    spark.streams.addListener(counter)
+    try:
+        query = run()
+        limit = time.monotonic() + patience
+        while str(query.runId) not in counter.ended:
+            if time.monotonic() > limit:
+                raise TimeoutError(f"the events of {name} did not arrive")
+            time.sleep(0.05)
+        return counter.totals()
+    finally:
+        spark.streams.removeListener(counter)
 
 
 def append_stream(
@@ -77,12 +124,14 @@ def ingest_csv_evolving(
     source: str,
     target: str,
     state: str,
+    infer: bool = False,
     files_per_batch: int = 1000,
 ) -> None:
     """New CSV files whose layouts may differ: columns are matched by header name.
 
-    Columns not seen before are appended to the stored schema as text; rows of files without them
-    hold NULL. Each micro-batch writes its own folder, replaced if the batch has to be repeated.
+    Columns not seen before are appended to the stored schema, as text unless ``infer``; types stay
+    as first stored, and values that do not fit are rescued. Rows of files without a column hold
+    NULL. Each micro-batch writes its own folder, replaced if the batch has to be repeated.
     """
     listing = (
         spark.readStream.format("binaryFile")
@@ -96,23 +145,25 @@ def ingest_csv_evolving(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # File names of one micro-batch, at most ``files_per_batch``.
-        paths = [row.path for row in batch.collect()]
-        with ThreadPoolExecutor(16) as pool:
-            headers = list(pool.map(lambda p: tuple(_header(spark, p)), paths))
-        layouts: dict[tuple[str, ...], list[str]] = {}
-        for path, header in zip(paths, headers):
-            layouts.setdefault(header, []).append(path)
-        layouts.pop((), None)
+        layouts = _layouts(spark, [row.path for row in batch.collect()])
         if not layouts:
             return
         known = read_schema(spark, schema_path) or StructType()
-        names = dict.fromkeys([*known.names, *[n for header in layouts for n in header]])
-        schema = StructType([StructField(n, StringType()) for n in names])
+        fields = {f.name: f for f in known if f.name != RESCUED}
+        for header, files in layouts.items():
+            if not set(header) <= set(fields):
+                found = spark.read.option("header", True).option("inferSchema", infer).csv(files)
+                for field in found.schema:
+                    fields.setdefault(field.name, field)
+        rescue = [StructField(RESCUED, StringType())] if infer else []
+        schema = StructType([*fields.values(), *rescue])
         if schema != known:
             save_schema(spark, schema_path, schema)
-        parts = [
-            with_lineage(_read_text_csv(spark, header, files)) for header, files in layouts.items()
-        ]
+        parts = []
+        for header, files in layouts.items():
+            layout = StructType([*[fields[name] for name in header], *rescue])
+            read = spark.read.schema(layout).options(**csv_options(layout)).csv(files)
+            parts.append(with_lineage(read))
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         rows.write.mode("overwrite").parquet(f"{target}/{FILES}/batch={batch_id}")
 
@@ -120,23 +171,28 @@ def ingest_csv_evolving(
     drain(writer.option("checkpointLocation", f"{state}/{FILES}").start())
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one file; only its first line is read."""
-    return spark.read.option("header", True).csv(path).columns
-
-
-def _read_text_csv(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    schema = StructType([StructField(name, StringType()) for name in header])
-    return spark.read.schema(schema).options(**csv_options(schema)).csv(paths)
+def _layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, from one job over the first splits of all files."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():
+        header = next(csv.reader([row.header.lstrip("\ufeff")]), [])
+        if header:
+            layouts.setdefault(tuple(header), []).append(row.path)
+    return layouts
 
 
 def read_evolving(spark: SparkSession, target: str, state: str) -> DataFrame:
     """The table written by ``ingest_csv_evolving`` with all columns seen so far."""
-    return (
-        spark.read.option("mergeSchema", True)
-        .parquet(f"{target}/{FILES}")
-        .select(*read_schema(spark, f"{state}/schema").names, "_ingest_ts", "_file_mod_time", "_source_file")
-    )
+    return read_ingested(spark, target, state)
 
 
 def backfill(spark: SparkSession, history: str, target: str, state: str) -> None:
@@ -146,8 +202,10 @@ def backfill(spark: SparkSession, history: str, target: str, state: str) -> None
     append_stream(rows, f"{target}/{BACKFILL}", f"{state}/{BACKFILL}")
 
 
-def _flow_paths(spark: SparkSession, target: str) -> list[str]:
-    return [f"{target}/{flow}" for flow in FLOWS if _exists(spark, f"{target}/{flow}")]
+def flow_paths(spark: SparkSession, target: str) -> dict[str, str]:
+    """The flows of an ingested table that hold files."""
+    paths = {flow: f"{target}/{flow}" for flow in FLOWS}
+    return {flow: path for flow, path in paths.items() if _exists(spark, path)}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -160,20 +218,61 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """All flows of an ingested table."""
-    parts = [spark.read.parquet(path) for path in _flow_paths(spark, target)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def table_schema(spark: SparkSession, target: str, state: str | None) -> StructType | None:
+    """The columns of an ingested table by its stored schema, where one is kept."""
+    stored = read_schema(spark, f"{state}/schema") if state else None
+    return ingested_schema(stored) if stored else None
+
+
+def flow_schema(spark: SparkSession, flow: str, path: str, schema: StructType | None) -> StructType:
+    """The columns of one flow's files, without the folders they lie in.
+
+    New files follow the stored schema. History has its own types, the same in all its files.
+    """
+    if flow == FILES and schema:
+        return schema
+    merged = spark.read.option("mergeSchema", flow == FILES).parquet(path).schema
+    return StructType([f for f in merged if f.name != "batch"])
+
+
+def _united(parts: list[DataFrame], schema: StructType | None) -> DataFrame:
+    """Flows under one schema: missing columns are NULL, values that do not fit are NULL."""
+    if schema is None:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return reduce(DataFrame.unionByName, [part.select(*conform(part.schema, schema)) for part in parts])
+
+
+def conform(have: StructType, want: StructType) -> list[Column]:
+    types = {f.name: f.dataType for f in have}
+    columns = []
+    for field in want:
+        column = F.col(f"`{field.name}`") if field.name in types else F.lit(None)
+        if types.get(field.name) != field.dataType:
+            column = column.try_cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return columns
+
+
+def read_ingested(spark: SparkSession, target: str, state: str | None = None) -> DataFrame:
+    """All flows of an ingested table; with ``state``, under the schema stored there."""
+    schema = table_schema(spark, target, state)
+    parts = []
+    for flow, path in flow_paths(spark, target).items():
+        shape = flow_schema(spark, flow, path, schema)
+        parts.append(spark.read.schema(shape).parquet(path).select(*[f"`{n}`" for n in shape.names]))
+    return _united(parts, schema)
 
 
 def stream_ingested(
-    spark: SparkSession, target: str, files_per_batch: int | None = None
+    spark: SparkSession, target: str, files_per_batch: int | None = None, state: str | None = None
 ) -> DataFrame:
     """All flows of an ingested table as one stream."""
+    schema = table_schema(spark, target, state)
     parts = []
-    for path in _flow_paths(spark, target):
-        reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    for flow, path in flow_paths(spark, target).items():
+        shape = flow_schema(spark, flow, path, schema)
+        reader = spark.readStream.schema(shape)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        parts.append(reader.parquet(path))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        parts.append(reader.parquet(path).select(*[f"`{n}`" for n in shape.names]))
+    return _united(parts, schema)

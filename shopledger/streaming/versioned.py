@@ -8,12 +8,15 @@ so that an earlier change arriving later cannot revive a deleted key.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopledger.operators.history import DELETED, END, START, version_all
-from shopledger.operators.skew import GROUP_ROWS, hot_keys
+from shopledger.operators.skew import GROUP_ROWS, hot_keys, is_hot
 from shopledger.sources.tables import replace_partitions
 from shopledger.streaming.ingest import append_stream, drain
 
@@ -21,17 +24,24 @@ BUCKET = "_bucket"
 
 
 def log_changes(
-    staged: DataFrame, log: str, checkpoint: str, key: str, buckets: int
+    staged: DataFrame,
+    log: str,
+    checkpoint: str,
+    key: str,
+    buckets: int,
+    hot: Collection[Any] = (),
 ) -> StreamingQuery:
     """Appends the new rows of a staged stream to the change log.
 
-    Rows of a bucket are gathered to keep files large. Each bucket still gets its share of the
-    shuffle partitions as writers, told apart by input partition, so that neither a hot key nor
-    copies of one row end up in a single task. A repeated task has the same input partition.
+    Rows of a bucket are gathered to keep files large. Each bucket gets its share of the shuffle
+    partitions as writers; rows without a key and rows of ``hot`` keys get all of them. Writers are
+    told apart by input partition, so that copies of one row spread too, and a repeated task has the
+    same input partition.
     """
-    writers = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets
+    partitions = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    part = F.pmod(F.spark_partition_id(), F.lit(max(writers, 1)))
+    spread = F.when(is_hot(key, {None, *hot}), partitions).otherwise(max(partitions // buckets, 1))
+    part = F.pmod(F.spark_partition_id(), spread)
     rows = staged.withColumns({BUCKET: bucket, "_part": part})
     gathered = rows.repartition(BUCKET, "_part").drop("_part")
     return append_stream(gathered, log, checkpoint, partition=BUCKET)
@@ -75,6 +85,10 @@ def rebuild_versions(
     _write(built, table, key)
 
 
+def contract_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c for c in spark.read.parquet(table).columns if c not in (DELETED, BUCKET)]
+
+
 def read_versions(spark: SparkSession, table: str) -> DataFrame:
     """The version table without delete changes."""
     return spark.read.parquet(table).filter(~F.col(DELETED)).drop(DELETED, BUCKET)

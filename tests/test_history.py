@@ -225,3 +225,17 @@ def test_a_failed_refresh_is_repeated(spark, monkeypatch, after_write):
     monkeypatch.setattr(versioned, "replace_partitions", write)
     refresh_versions(*refresh)
     assert spans(read_versions(spark, f"{base}/table")) == brute_force(rows)
+
+
+def test_rows_of_a_hot_or_missing_key_get_several_writers(spark, tmp_path):
+    # Small partitions would be joined again.
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    for name, key in (("hot", "'k'"), ("none", "NULL")):
+        rows = spark.range(4000, numPartitions=8).selectExpr(f"cast({key} as string) k", "id")
+        rows.write.parquet(f"{tmp_path}/{name}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/{name}/in")
+        log_changes(stream, f"{tmp_path}/{name}/log", f"{tmp_path}/{name}/s", "k", buckets=64, hot=["k"])
+        log = spark.read.parquet(f"{tmp_path}/{name}/log")
+        assert log.count() == 4000 and len(log.inputFiles()) > 1
+    spark.conf.set(coalesce, "true")

@@ -2,11 +2,14 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopledger.operators.expectations import apply_expectations
 from shopledger.sources.files import read_schema, write_csv
 from shopledger.streaming.ingest import (
+    append_stream,
     backfill,
+    counted_run,
     ingest_csv,
     ingest_csv_evolving,
     read_evolving,
@@ -114,3 +117,29 @@ def test_rules_on_a_stream(spark, paths):
     assert spark.read.parquet(f"{table}-out").count() == 2
     seen = [p.observedMetrics["checked"] for p in stream.recentProgress if p.observedMetrics]
     assert (seen[0]["rows"], seen[0].has_id, seen[0].positive) == (3, 1, 1)
+
+
+def test_every_micro_batch_is_counted(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in")
+    for i in range(130):
+        with open(f"{tmp_path}/in/{i:03}.csv", "w") as file:
+            file.write(f"id\n{i}\n")
+    reader = spark.readStream.schema("id long").option("header", True).option("maxFilesPerTrigger", 1)
+    seen = reader.csv(f"{tmp_path}/in").observe("drops", F.count(F.lit(1)).alias("rows"))
+    run = lambda: append_stream(seen, f"{tmp_path}/out", f"{tmp_path}/state")
+    assert counted_run(spark, "drops", run) == {"rows": 130}
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 130
+
+
+def test_evolved_columns_survive_every_reader(spark, tmp_path):
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    spark.createDataFrame([("a", 1)], "id string, qty int").write.option("header", True).csv(f"{landing}/1")
+    ingest_csv_evolving(spark, f"{landing}/*", table, state, infer=True)
+    more = spark.createDataFrame([("red", "b", 2)], "colour string, id string, qty int")
+    more.write.option("header", True).csv(f"{landing}/2")
+    ingest_csv_evolving(spark, f"{landing}/*", table, state, infer=True)
+    got = read_ingested(spark, table, state)
+    assert "batch" not in got.columns and dict(got.dtypes)["qty"] == "int"
+    assert sorted(map(tuple, got.select("id", "qty", "colour").collect())) == [("a", 1, None), ("b", 2, "red")]
+    append_stream(stream_ingested(spark, table, state=state), f"{tmp_path}/copy", f"{tmp_path}/copy_state")
+    assert spark.read.parquet(f"{tmp_path}/copy").filter("colour = 'red'").count() == 1

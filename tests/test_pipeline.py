@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopledger.plans.pipeline import Pipeline
+from shopledger.sources.tables import read_table, replace_table
 
 NOW = "2025-01-01 00:00:00"
 ORDERS = "country,customer_id,order_date,order_id,order_status,payment_method,product_id,quantity,shipping_city,unit_price"
@@ -100,10 +101,51 @@ def test_a_failing_source_does_not_stop_the_others(spark, pipeline):
     assert pipeline.versions("silver_products").count() == 2
 
 
+def test_new_columns_and_history_in_the_pipeline(spark, tmp_path):
+    old = f"{tmp_path}/old_orders"
+    spark.createDataFrame(
+        [("CUST-1", "2023-08-01", "ORD-0", "completed", "PROD-1", 4, 600.0)],
+        "customer_id string, order_date string, order_id string, order_status string,"
+        " product_id string, quantity int, unit_price double",
+    ).write.parquet(old)
+    base, landing = str(tmp_path / "base"), str(tmp_path / "landing")
+    pipeline = Pipeline(spark, landing, base, buckets=4, now=NOW, history={"orders": old})
+    first_drops(landing)
+    pipeline.run()
+    drop(landing, "orders", "o2.csv", "colour," + ORDERS, "red,DE,CUST-1,2024-08-05,ORD-9,completed,upi,PROD-1,1,Pune,5.0")
+    drop(landing, "customers", "c2.csv", CUSTOMERS + ",age", "Pune,CUST-3,Cy,cy@example.com,true,2023-01-01,gold,41")
+    pipeline.run()
+    assert {r.order_id for r in pipeline.versions("silver_orders").collect()} == {"ORD-0", "ORD-1", "ORD-2", "ORD-9"}
+    pipeline.register()
+    colours = spark.table("bronze.bronze_order").select("order_id", "colour", "quantity").collect()
+    assert sorted((r[0], r[1], r[2]) for r in colours) == [
+        ("ORD-0", None, "4"), ("ORD-1", None, "2"), ("ORD-2", None, "1"), ("ORD-3", None, "0"), ("ORD-9", "red", "1"),
+    ]
+    ages = spark.table("bronze.bronze_customer")
+    assert dict(ages.dtypes)["age"] == "int" and ages.agg(F.max("age")).first()[0] == 41
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP SCHEMA {layer} CASCADE")
+
+
+def test_failed_publish_keeps_the_old_mart(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    assert replace_table(spark.range(3), path).count() == 3
+    broken = spark.range(5).select((F.col("id") + F.raise_error(F.lit("no")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(broken, path)
+    assert read_table(spark, path).count() == 3
+    assert replace_table(spark.range(7), path).count() == 7
+
+
 def test_catalog_entries(spark, pipeline):
     first_drops(pipeline.landing)
+    gone = "A,Toys,2024-09-01 00:00:00,false,DELETE,PROD-2,Novel,0,10.0"
+    drop(pipeline.landing, "products", "p2.csv", PRODUCTS, gone)
     pipeline.run()
     pipeline.register({"team": "it's us"})
+    products = spark.table("silver.silver_products")
+    assert [r.product_id for r in products.filter("__END_AT IS NULL").collect()] == ["PROD-1"]
+    assert not {"_deleted", "_bucket"} & set(products.columns)
     assert spark.table("gold.gold_daily_revenue").count() == 2
     assert spark.table("bronze.bronze_order").count() == 3
     assert spark.table("silver.silver_orders").count() == 2

@@ -21,11 +21,15 @@ def duck():
     return connection
 
 
+# The training-data queries have tests of their own.
+NAMES = sorted(set(contract.queries()) - set(contract.LLM_QUERIES))
+
+
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(NAMES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     got = contract.queries()[name](spark, SF_DIR)
     columns = sorted(got.columns)

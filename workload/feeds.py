@@ -17,24 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@cache
-def _idle_cores(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Cores that stay idle while the table is scanned, because it has too few row groups."""
-    splits = table(spark, sf_dir, name).rdd.getNumPartitions()
-    return spark.sparkContext.defaultParallelism - splits
-
-
-def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table, dealt out to all cores if its files alone would not occupy them.
-
-    Large tables have more splits than the cluster has cores and are read as they are.
-    """
-    rows = table(spark, sf_dir, name)
-    if _idle_cores(spark, sf_dir, name) <= 0:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism)
-
-
 @cache
 def _hot(spark: SparkSession, sf_dir: str, name: str, expression: str) -> dict:
     """Hot values of one expression over a stored table; found once per session."""
@@ -53,16 +35,30 @@ def hot_customers(spark: SparkSession, sf_dir: str) -> dict:
     return _hot(spark, sf_dir, "orders", "concat('CUST-', o_custkey)")
 
 
+@cache
+def hot_buyers(spark: SparkSession, sf_dir: str) -> dict:
+    """Customers hot among order lines, the side that facts join by."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.concat(F.lit("CUST-"), "o_custkey").alias("key")
+    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    return hot_keys(lines.join(orders, "l_orderkey", "left"), "key")
+
+
 def hot_dimensions(spark: SparkSession, sf_dir: str) -> dict:
     return {
-        "customer_id": hot_customers(spark, sf_dir),
+        "customer_id": hot_buyers(spark, sf_dir),
         "product_id": hot_products(spark, sf_dir),
     }
 
 
 def hot_pit(spark: SparkSession, sf_dir: str) -> dict:
     """Facts and versions of a key meet in one place, so their rows add up."""
-    return {key: merge_hot(hot, hot) for key, hot in hot_dimensions(spark, sf_dir).items()}
+    lines, products = hot_buyers(spark, sf_dir), hot_products(spark, sf_dir)
+    return {
+        "customer_id": merge_hot(lines, hot_customers(spark, sf_dir)),
+        "product_id": merge_hot(products, products),
+    }
 
 
 def _padded(*names: str) -> Column:
@@ -146,7 +142,7 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "Update")
         .otherwise("INSERT")
     )
-    return _lines(spark, sf_dir, _spread(spark, sf_dir, "lineitem")).select(
+    return _lines(spark, sf_dir, table(spark, sf_dir, "lineitem")).select(
         operation.alias("operation"),
         F.date_format(changed, "yyyy-MM-dd HH:mm:ss").alias("cdc_timestamp"),
         F.concat(F.lit("PROD-"), "l_partkey").alias("product_id"),
