@@ -181,7 +181,7 @@ def confirmed(blocks: DataFrame, texts: DataFrame, words: int, similar: int) ->
                 pairs["b"].append(b)
         return pa.table(pairs, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    with_text = blocks.join(texts, "id").select("block", "side", "id", "comp", "text")
+    with_text = blocks.hint("merge").join(texts, "id").select("block", "side", "id", "comp", "text")
     return with_text.groupBy("block").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -308,7 +308,8 @@ def links_of(
     shared = shared.filter("lo < hi").select("key")
     members = settle(keyed.join(shared, "key"), "dup-members")
     active = settle(members.select("id").distinct(), "dup-active")
-    texts = settle(texts.join(active, "id"), "dup-texts")
+    # Merge joins at every size: ids grow with the documents and are no side to broadcast.
+    texts = settle(texts.join(active.hint("merge"), "id"), "dup-texts")
     labels = active.select("id", F.col("id").alias("comp"))
     links = None
     for i in range(rounds):
@@ -378,7 +379,7 @@ def one_of_each(documents: DataFrame, **options: int) -> DataFrame:
     ids = found.filter("kept").groupBy("doc_id").count()
     ids = settle(ids.withColumnsRenamed({"doc_id": "__id", "count": "__n"}), "dup-kept")
     same = documents["doc_id"].eqNullSafe(F.col("__id"))
-    kept = documents.join(ids, same).drop("__id")
+    kept = documents.join(ids.hint("merge"), same).drop("__id")
     if ids.filter("__n > 1 AND __id IS NOT NULL").isEmpty():
         return kept.drop("__n")
     single = kept.filter("__n = 1 OR doc_id IS NULL").drop("__n")
