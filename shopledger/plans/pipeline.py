@@ -165,8 +165,8 @@ class Pipeline:
             names = ", ".join(failures)
             raise RuntimeError(f"failed sources: {names}") from next(iter(failures.values()))
 
-    def versions(self, table: str) -> DataFrame:
-        return read_versions(self.spark, self.path(f"silver.{table}"))
+    def versions(self, table: str, only_open: bool = False) -> DataFrame:
+        return read_versions(self.spark, self.path(f"silver.{table}"), only_open)
 
     def read(self, name: str) -> DataFrame:
         """A published fact or mart."""
@@ -174,7 +174,7 @@ class Pipeline:
 
     def publish(self) -> None:
         """Facts and marts, recomputed in full from the version tables."""
-        orders = current(self.versions("silver_orders"))
+        orders = current(self.versions("silver_orders", only_open=True))
         customers = self.versions("silver_customers")
         products = self.versions("silver_products")
         order_hot = {key: hot_keys(orders, key) for key in ("customer_id", "product_id")}
@@ -182,7 +182,10 @@ class Pipeline:
             "customer_id": merge_hot(order_hot["customer_id"], hot_keys(customers, "customer_id")),
             "product_id": merge_hot(order_hot["product_id"], hot_keys(products, "product_id")),
         }
-        dimensions = current(customers), current(products)
+        dimensions = [
+            current(self.versions(table, only_open=True))
+            for table in ("silver_customers", "silver_products")
+        ]
 
         by_customer = self._save(
             "silver.silver_order_customer_fact",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
 from shopledger.sources.files import append_row, latest_row
@@ -44,17 +44,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(table_path(spark, path))
 
 
-def replace_partitions(
-    df: DataFrame, path: str, partition: str, sort_by: Sequence[str | Column]
-) -> None:
-    """Replaces only the partitions that occur in ``df``.
+def _clustered(
+    df: DataFrame, partition: Sequence[str], sort_by: Sequence[str | Column]
+) -> DataFrameWriter:
+    """The rebalance hint gathers the rows of a partition and splits large ones over several tasks.
 
-    The rebalance hint gathers the rows of a partition and splits large ones over several tasks.
     Sorted files keep the ranges of their row groups narrow.
     """
-    clustered = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
-    writer = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
+    gathered = df.hint("rebalance", *partition).sortWithinPartitions(*partition, *sort_by)
+    return gathered.write.partitionBy(*partition)
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition: Sequence[str], sort_by: Sequence[str | Column]
+) -> None:
+    """Replaces only the partitions that occur in ``df``."""
+    writer = _clustered(df, partition, sort_by).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def append_partitions(
+    df: DataFrame, path: str, partition: Sequence[str], sort_by: Sequence[str | Column]
+) -> None:
+    _clustered(df, partition, sort_by).mode("append").parquet(path)
 
 
 def register_table(

@@ -1,9 +1,11 @@
 """Version tables kept up to date from streams.
 
 Staged changes are appended to a change log partitioned by a hash bucket of the key. A second stream
-follows the log and rebuilds the versions of the buckets that received changes, so late rows split
-older intervals and replays change nothing. Delete changes stay in the log and in the stored table,
-so that an earlier change arriving later cannot revive a deleted key.
+follows the log. The version table is partitioned by bucket and by open or ended: changes that come
+in order end open versions and start new ones, so a run appends what ended and rewrites the open
+part only. Buckets with a change older than its key's open version are rebuilt from the log, so late
+rows split older intervals and replays change nothing. Delete changes stay in the log and in the
+stored table, so that an earlier change arriving later cannot revive a deleted key.
 """
 
 from __future__ import annotations
@@ -11,16 +13,22 @@ from __future__ import annotations
 from collections.abc import Collection
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from shopledger.operators.history import DELETED, END, START, version_all
+from shopledger.operators.history import DELETED, END, SEQUENCE, START, version_all
 from shopledger.operators.skew import GROUP_ROWS, hot_keys, is_hot
-from shopledger.sources.tables import replace_partitions
+from shopledger.session import materialize
+from shopledger.sources.files import append_row, latest_row
+from shopledger.sources.tables import append_partitions, replace_partitions
 from shopledger.streaming.ingest import append_stream, drain
 
 BUCKET = "_bucket"
+OPEN = "_open"
+BEGUN = "version long, batch long"
 
 
 def log_changes(
@@ -47,9 +55,39 @@ def log_changes(
     return append_stream(gathered, log, checkpoint, partition=BUCKET)
 
 
-def _write(built: DataFrame, table: str, key: str) -> None:
-    """Open versions apart from ended ones, so that reading the current state skips history."""
-    replace_partitions(built, table, BUCKET, [F.col(END).isNull(), key, START])
+def _placed(built: DataFrame) -> DataFrame:
+    return built.withColumn(OPEN, F.col(END).isNull().cast("int"))
+
+
+def _rebuild(
+    changes: DataFrame, table: str, key: str, delete: str | None, group_rows: int = GROUP_ROWS
+) -> None:
+    built = version_all(changes, key, delete, hot_keys(changes, key, group_rows))
+    replace_partitions(_placed(built), table, [BUCKET, OPEN], [key, START])
+
+
+def _stored(
+    spark: SparkSession, table: str, changes: StructType, key: str, delete: str | None
+) -> DataFrame | None:
+    """The stored table, delete changes included, or None before the first run."""
+    built = version_all(spark.createDataFrame([], changes), key, delete)
+    try:
+        return spark.read.schema(_placed(built).schema).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """At most one value per bucket."""
+    return [row[BUCKET] for row in rows.select(BUCKET).distinct().collect()]
+
+
+def _late(batch: DataFrame, newest: DataFrame, key: str) -> DataFrame:
+    """Keys of the batch with a change before the start of their open version."""
+    first = batch.groupBy(BUCKET, key).agg(F.min(F.struct(*SEQUENCE)).alias("_first"))
+    return first.join(newest.select(key, START), key).filter(F.col("_first") < F.col(START))
 
 
 def refresh_versions(
@@ -61,34 +99,63 @@ def refresh_versions(
     delete: str | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> None:
-    """Rebuilds the buckets whose log grew since the last refresh."""
-    schema = spark.read.parquet(log).schema
+    """Takes the changes logged since the last refresh into the version table.
 
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
-        # At most one value per bucket.
-        touched = [row[BUCKET] for row in batch.select(BUCKET).distinct().collect()]
-        changes = spark.read.parquet(log).filter(F.col(BUCKET).isin(touched))
-        hot = hot_keys(changes, key, group_rows)
-        _write(version_all(changes, key, delete, hot), table, key)
+    A batch is noted before the table is touched. One that had begun before and is repeated may have
+    left half of its work, so its buckets are rebuilt from the log, which gives the same table.
+    """
+    schema = spark.read.parquet(log).schema
+    begun = f"{checkpoint}-begun"
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        latest = latest_row(spark, begun, BEGUN)
+        repeated = latest is not None and latest.batch >= batch_id
+        append_row(spark, begun, BEGUN, batch_id)
+        batch = batch.filter(F.col(key).isNotNull())
+        touched = _buckets(batch)
+        stored = _stored(spark, table, schema, key, delete)
+        if stored is None:
+            _rebuild(spark.read.parquet(log), table, key, delete, group_rows)
+            return
+        newest = stored.filter(F.col(OPEN) == 1)
+        late = touched
+        if not repeated:
+            late = _buckets(_late(batch, newest.filter(F.col(BUCKET).isin(touched)), key))
+        in_order = sorted(set(touched) - set(late))
+        if late:
+            changes = spark.read.schema(schema).parquet(log).filter(F.col(BUCKET).isin(late))
+            _rebuild(changes, table, key, delete, group_rows)
+        if in_order:
+            here = F.col(BUCKET).isin(in_order)
+            grown = newest.filter(here).select(*schema.names).unionByName(batch.filter(here))
+            hot = hot_keys(grown, key, group_rows)
+            # Both writes take their rows from one result, and the second replaces what it came from.
+            built = materialize(_placed(version_all(grown, key, delete, hot)))
+            append_partitions(built.filter(F.col(OPEN) == 0), table, [BUCKET, OPEN], [key, START])
+            replace_partitions(built.filter(F.col(OPEN) == 1), table, [BUCKET, OPEN], [key, START])
 
     stream = spark.readStream.schema(schema).parquet(log)
-    writer = stream.writeStream.foreachBatch(rebuild).trigger(availableNow=True)
+    writer = stream.writeStream.foreachBatch(refresh).trigger(availableNow=True)
     drain(writer.option("checkpointLocation", checkpoint).start())
 
 
 def rebuild_versions(
     spark: SparkSession, log: str, table: str, key: str, delete: str | None = None
 ) -> None:
-    """Recomputes the whole version table from the log, as after a change of history."""
-    changes = spark.read.parquet(log)
-    built = version_all(changes, key, delete, hot_keys(changes, key))
-    _write(built, table, key)
+    """Recomputes the whole version table from the log, as after a change of history.
+
+    It also gathers the files that many runs appended.
+    """
+    _rebuild(spark.read.parquet(log), table, key, delete)
 
 
 def contract_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c for c in spark.read.parquet(table).columns if c not in (DELETED, BUCKET)]
+    return [c for c in spark.read.parquet(table).columns if c not in (DELETED, BUCKET, OPEN)]
 
 
-def read_versions(spark: SparkSession, table: str) -> DataFrame:
-    """The version table without delete changes."""
-    return spark.read.parquet(table).filter(~F.col(DELETED)).drop(DELETED, BUCKET)
+def read_versions(spark: SparkSession, table: str, only_open: bool = False) -> DataFrame:
+    """The version table without delete changes; ``only_open`` skips the folders of ended versions."""
+    stored = spark.read.parquet(table)
+    if only_open:
+        stored = stored.filter(F.col(OPEN) == 1)
+    return stored.filter(~F.col(DELETED)).drop(DELETED, BUCKET, OPEN)

@@ -204,6 +204,62 @@ def test_bucket_left_with_deletes_only_is_cleared(spark):
     assert read_versions(spark, f"{base}/table").count() == (0 if kept._deleted else 1)
 
 
+def test_changes_in_order_leave_ended_files_untouched(spark, tmp_path):
+    """Only a late change rewrites ended versions, and only those of its bucket."""
+    base = str(tmp_path)
+
+    def drop(rows):
+        changes(spark, rows).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(changes(spark, []).schema).parquet(f"{base}/landing")
+        log_changes(stream, f"{base}/log", f"{base}/s/log", "k", buckets=4)
+        refresh_versions(spark, f"{base}/log", f"{base}/table", f"{base}/s/table", "k", DELETE)
+        return {(p, p.stat().st_mtime_ns) for p in tmp_path.glob("table/*/_open=0/*.parquet")}
+
+    keys = [f"k{i}" for i in range(12)]
+    rows = [[(k, "I", d, d, d, f"{k}-{d}") for k in keys for d in days] for days in ((3, 4), (6, 7))]
+    first, second = drop(rows[0]), drop(rows[1])
+    assert first and first < second
+    assert spans(read_versions(spark, f"{base}/table")) == brute_force(rows[0] + rows[1])
+    late = [("k0", "I", 5, 5, 5, "k0-5")]
+    third = drop(late)
+    kept = {p.parent.parent.name for p, _ in second & third}
+    assert len(kept) == len({p.parent.parent.name for p, _ in second}) - 1
+    stored = read_versions(spark, f"{base}/table")
+    assert spans(stored) == brute_force(rows[0] + rows[1] + late)
+    now = read_versions(spark, f"{base}/table", only_open=True)
+    assert spans(now) == spans(current(stored)) and now.count() == len(keys)
+
+
+@pytest.mark.parametrize("fails_at", [0, 1])
+def test_a_failed_later_refresh_is_repeated(spark, monkeypatch, fails_at):
+    """Ended versions are appended before the open ones are replaced; a repeat must not double them."""
+    base = scratch_path(spark, "test-again")
+    rows = [[("a", "I", 1, 1, 1, "f"), ("b", "I", 2, 1, 1, "g")], [("a", "I", 3, 5, 5, "f")]]
+    refresh = (spark, f"{base}/log", f"{base}/table", f"{base}/s/table", "k", DELETE)
+
+    def land(part):
+        changes(spark, part).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(changes(spark, []).schema).parquet(f"{base}/landing")
+        log_changes(stream, f"{base}/log", f"{base}/s/log", "k", buckets=1)
+
+    land(rows[0])
+    refresh_versions(*refresh)
+    land(rows[1])
+    name = ("replace_partitions", "append_partitions")[fails_at]
+    write = getattr(versioned, name)
+
+    def broken(*args):
+        write(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(versioned, name, broken)
+    with pytest.raises(Exception, match="lost"):
+        refresh_versions(*refresh)
+    monkeypatch.setattr(versioned, name, write)
+    refresh_versions(*refresh)
+    assert spans(read_versions(spark, f"{base}/table")) == brute_force(rows[0] + rows[1])
+
+
 @pytest.mark.parametrize("after_write", [False, True])
 def test_a_failed_refresh_is_repeated(spark, monkeypatch, after_write):
     base = scratch_path(spark, "test-retry")

@@ -145,7 +145,7 @@ def test_catalog_entries(spark, pipeline):
     pipeline.register({"team": "it's us"})
     products = spark.table("silver.silver_products")
     assert [r.product_id for r in products.filter("__END_AT IS NULL").collect()] == ["PROD-1"]
-    assert not {"_deleted", "_bucket"} & set(products.columns)
+    assert not {"_deleted", "_bucket", "_open"} & set(products.columns)
     assert spark.table("gold.gold_daily_revenue").count() == 2
     assert spark.table("bronze.bronze_order").count() == 3
     assert spark.table("silver.silver_orders").count() == 2
