@@ -12,7 +12,9 @@ from shopledger.functions import business as rule
 from shopledger.operators.asof import asof_join
 from shopledger.operators.expectations import apply_expectations, violation_report
 from shopledger.operators.history import (
+    DELETED,
     END,
+    SEQUENCE,
     START,
     current,
     current_from_changes,
@@ -20,19 +22,22 @@ from shopledger.operators.history import (
     overlaps,
     versions,
 )
+from shopledger.operators.skew import hot_keys
 from shopledger.plans import checks, facts, marts, rules
 from shopledger.plans.stage import stage_customers, stage_orders, stage_products
 from shopledger.session import scratch_path
 from shopledger.sources.files import LINEAGE, csv_options, file_schema, write_csv
+from shopledger.sources.tables import register_view
 from shopledger.streaming.ingest import (
     append_stream,
     backfill,
+    counted_run,
     ingest_csv,
     ingest_csv_evolving,
-    read_evolving,
     read_ingested,
 )
 from shopledger.streaming.versioned import (
+    contract_columns,
     log_changes,
     read_versions,
     rebuild_versions,
@@ -121,6 +126,9 @@ ORDER_TIES = ["order_status", "unit_price"]
 CUSTOMER_TIES = ["customer_id"]
 PRODUCT_TIES = ["operation", "unit_price", "stock_quantity"]
 
+# Rows per key from which the hot_ queries split a key.
+SPLIT_ROWS = 44
+
 
 def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = feeds.hot_orders(spark, sf_dir)
@@ -133,6 +141,12 @@ def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions(changes, "customer_id", hot=hot, ties=CUSTOMER_TIES)
 
 
+def signup_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = feeds.hot_customers(spark, sf_dir)
+    changes = staged_customers(spark, sf_dir)
+    return versions(changes, "customer_id", hot=hot, ties=CUSTOMER_TIES)
+
+
 def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = feeds.hot_products(spark, sf_dir)
     changes = staged_products(spark, sf_dir)
@@ -284,6 +298,36 @@ def check_scd2_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("customer_id").agg(F.count("*").alias("overlaps"))
 
 
+@query
+def scd2_customers_by_signup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sign-up date as event time, so that the ingest time decides between a customer's changes."""
+    return spans(signup_versions(spark, sf_dir))
+
+
+@query
+def scd2_dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above; without a usable sign-up date the ingest time takes its place."""
+    changes = stage_customers(feeds.dirty_customer_feed(spark, sf_dir), AS_OF)
+    return spans(versions(changes, "customer_id", hot=feeds.hot_customers(spark, sf_dir)))
+
+
+@query
+def hot_scd2_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of more than a few rows split over tasks, as a hot key is."""
+    changes = staged_products(spark, sf_dir)
+    hot = hot_keys(changes, "product_id", SPLIT_ROWS)
+    return spans(versions(changes, "product_id", IS_DELETE, hot, PRODUCT_TIES))
+
+
+@query
+def check_overlap_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On versions of which some never end."""
+    open_ended = F.when(F.col("tier") != "BUILDING", F.col(END))
+    doctored = customer_versions(spark, sf_dir).withColumn(END, open_ended)
+    found = overlaps(doctored, "customer_id", feeds.hot_customers(spark, sf_dir))
+    return found.groupBy("customer_id").agg(F.count("*").alias("overlaps"))
+
+
 # ---- facts and joins in time --------------------------------------------------------------------
 
 
@@ -338,6 +382,46 @@ def pit_join_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("order_sk", "product_sk", "catalog_unit_price")
 
 
+@query
+def pit_join_customer_by_signup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = {"customer_sk": "customer_sk", "tier": "tier"}
+    hot = feeds.hot_pit(spark, sf_dir)["customer_id"]
+    lines = current_orders(spark, sf_dir)
+    joined = asof_join(lines, signup_versions(spark, sf_dir), "customer_id", taken, hot=hot)
+    return joined.select("order_sk", "customer_sk", "tier")
+
+
+@query
+def hot_pit_join_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = {"product_sk": "product_sk", "unit_price": "catalog_unit_price"}
+    lines = current_orders(spark, sf_dir).select("order_sk", "product_id", *SEQUENCE)
+    hot = hot_keys(feeds.product_feed(spark, sf_dir), "product_id", SPLIT_ROWS)
+    joined = asof_join(lines, product_versions(spark, sf_dir), "product_id", taken, hot=hot)
+    return joined.select("order_sk", "product_sk", "catalog_unit_price")
+
+
+@query
+def hot_fact_order_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = current_orders(spark, sf_dir)
+    hot = {"customer_id": hot_keys(lines, "customer_id", SPLIT_ROWS)}
+    fact = facts.order_customer_fact(lines, current_customers(spark, sf_dir), AS_OF, hot)
+    return plain(fact.drop("_mv_refreshed_at"))
+
+
+@query
+def check_pit_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a fact in which lines of matching price come twice."""
+    times = F.when(F.col("price_match_flag") == "MATCH", 2).otherwise(1)
+    copies = F.explode(F.sequence(F.lit(1), times)).alias("copy")
+    return checks.duplicate_lines(point_in_time(spark, sf_dir).select("*", copies))
+
+
+@query
+def check_freshness_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = staged_customers(spark, sf_dir).withColumnRenamed("_ingest_ts", "_gold_load_ts")
+    return plain(checks.freshness(loads, max_hours=365 * 24, now=AS_OF, by=["customer_id"]))
+
+
 @query
 def pit_revenue_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(marts.revenue_by(point_in_time(spark, sf_dir), "tier", "category"), revenue=2)
@@ -458,6 +542,55 @@ def dq_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_report(staged_products(spark, sf_dir), rules.PRODUCTS)
 
 
+@query
+def stage_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed dates and numbers become NULL."""
+    return plain(stage_orders(feeds.dirty_order_feed(spark, sf_dir), AS_OF))
+
+
+@query
+def stage_dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(stage_customers(feeds.dirty_customer_feed(spark, sf_dir), AS_OF))
+
+
+@query
+def dq_drop_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = stage_orders(feeds.dirty_order_feed(spark, sf_dir), AS_OF)
+    return apply_expectations(staged, rules.ORDERS).select("order_sk", "quantity", "unit_price")
+
+
+@query
+def dq_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = stage_orders(feeds.dirty_order_feed(spark, sf_dir), AS_OF)
+    customers = stage_customers(feeds.dirty_customer_feed(spark, sf_dir), AS_OF)
+    first = violation_report(orders, rules.ORDERS).withColumn("table_name", F.lit("orders"))
+    second = violation_report(customers, rules.CUSTOMERS)
+    return first.unionByName(second.withColumn("table_name", F.lit("customers")))
+
+
+@query
+def dq_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts taken while the rows pass, over several micro-batches."""
+    base = scratch_path(spark, "dq_stream")
+    raw = feeds.dirty_order_feed(spark, sf_dir)
+    raw.write.parquet(f"{base}/raw")
+    files = max(1, spark.sparkContext.defaultParallelism // 4)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files)
+    staged = stage_orders(stream.parquet(f"{base}/raw"), AS_OF)
+    checked = apply_expectations(staged, rules.ORDERS, "dirty_orders")
+    counts = counted_run(
+        spark, "dirty_orders", lambda: append_stream(checked, f"{base}/table", f"{base}/state")
+    )
+    report = [
+        (name, action, counts[name], counts["rows"])
+        for action, named in rules.ORDERS.items()
+        for name in named
+    ]
+    return spark.createDataFrame(
+        report, "rule string, action string, failed_rows long, total_rows long"
+    )
+
+
 # ---- files and streams --------------------------------------------------------------------------
 
 
@@ -520,30 +653,32 @@ def schema_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = feed.filter(~early).select("city", change_ts, "customer_id", "signup_date", "tier")
     for drop in (first, later):
         drop.write.mode("append").option("header", True).csv(f"{base}/landing")
-        ingest_csv_evolving(spark, f"{base}/landing", f"{base}/table", f"{base}/state")
-    table = read_evolving(spark, f"{base}/table", f"{base}/state")
-    return table.select("customer_id", "tier", "city", "signup_date", "change_ts")
+        ingest_csv_evolving(spark, f"{base}/landing", f"{base}/table", f"{base}/state", infer=True)
+    table = read_ingested(spark, f"{base}/table", f"{base}/state")
+    return plain(table.select("customer_id", "tier", "city", "signup_date", "change_ts"))
 
 
 @query
 def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History from parquet once, everything later from CSV drops."""
+    """Typed history from parquet once, everything later from CSV drops with inferred types."""
     base = scratch_path(spark, "backfill")
     feed = feeds.product_feed(spark, sf_dir).withColumnRenamed("_source_file", "feed_position")
     feed = feed.drop("_ingest_ts", "_file_mod_time")
     old = F.col("cdc_timestamp") < "1999-01-01"
-    feed.filter(old).write.parquet(f"{base}/history")
+    typed = {
+        "unit_price": F.col("unit_price").cast("double"),
+        "stock_quantity": F.col("stock_quantity").cast("long"),
+        "cdc_timestamp": F.col("cdc_timestamp").cast("timestamp"),
+    }
+    feed.filter(old).withColumns(typed).write.parquet(f"{base}/history")
     write_csv(feed.filter(~old), f"{base}/landing")
     for _ in range(2):
         backfill(spark, f"{base}/history", f"{base}/table", f"{base}/state")
-        ingest_csv(spark, f"{base}/landing", f"{base}/table", f"{base}/state")
-    table = read_ingested(spark, f"{base}/table")
-    return table.select(
-        "product_id",
-        F.trim("operation").alias("operation"),
-        F.col("unit_price").cast("double").alias("unit_price"),
-        F.concat("cdc_timestamp", F.lit(".000000")).alias("cdc_timestamp"),
-        "feed_position",
+        ingest_csv(spark, f"{base}/landing", f"{base}/table", f"{base}/state", infer=True)
+    table = read_ingested(spark, f"{base}/table", f"{base}/state")
+    operation = F.trim("operation").alias("operation")
+    return plain(
+        table.select("product_id", operation, "unit_price", "cdc_timestamp", "feed_position")
     )
 
 
@@ -608,5 +743,19 @@ def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans(read_versions(spark, f"{base}/rebuilt"))
 
 
+@query
+def stored_current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops in order of time, read as the current state through a catalog view."""
+    changes = staged_products(spark, sf_dir)
+    year = F.year("_event_ts")
+    drops = [changes.filter(year < 1997), changes.filter(year == 1997), changes.filter(year > 1997)]
+    base, _ = _versions_by_drops(spark, drops, "stored", "product_id", IS_DELETE)
+    shown = contract_columns(spark, f"{base}/table")
+    stored = f"SELECT {', '.join(shown)} FROM parquet.`{base}/table` WHERE NOT {DELETED}"
+    register_view(spark, "silver.stored_products", stored, "Versions per product")
+    now = spark.sql(f"SELECT * FROM silver.stored_products WHERE {END} IS NULL")
+    return plain(now.select(*[c for c in now.columns if not c.startswith("_")]))
+
+
 def queries() -> dict[str, Query]:
     return {name.rstrip("_"): run for name, run in QUERIES.items()}

@@ -133,6 +133,31 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order feed with the faults that casts and rules are for; small quantities carry them."""
+    quantity = F.col("quantity")
+    date, price = F.col("order_date"), F.col("unit_price")
+    return order_feed(spark, sf_dir).withColumns(
+        {
+            "quantity": F.when(quantity == "1", "0").when(quantity == "2", "two").when(quantity != "3", quantity),
+            "order_date": F.when(quantity == "4", "2024-13-45").when(quantity != "5", date),
+            "unit_price": F.when(quantity == "6", "-1.5").when(quantity == "8", "n/a").otherwise(price),
+            "order_id": F.when(quantity != "7", F.col("order_id")),
+        }
+    )
+
+
+def dirty_customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer feed with unusable addresses and sign-up dates; the tier tells where."""
+    tier, email, signup = F.col("tier"), F.col("email"), F.col("signup_date")
+    return customer_feed(spark, sf_dir).withColumns(
+        {
+            "email": F.when(tier == "1-URGENT", F.replace(email, F.lit("@"), F.lit("."))).when(tier != "BUILDING", email),
+            "signup_date": F.when(tier == "2-HIGH", "unknown").when(tier != "3-MEDIUM", signup),
+        }
+    )
+
+
 def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product change per order line, some time after shipping; returns delete the product."""
     price = F.col("p_retailprice") / 10

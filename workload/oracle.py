@@ -86,6 +86,29 @@ left join ver_customers c on o.customer_id = c.customer_id and {customer}
 left join ver_products p on o.product_id = p.product_id and {product}
 where o.{revenue}"""
 
+
+def _staged_orders(feed: str) -> str:
+    return f"""
+select sha256(concat_ws('||', order_id, cast(cast(order_date as timestamp) as varchar),
+    cast(_ingest_ts as varchar))) as order_sk,
+  order_id, customer_id, product_id, quantity, unit_price, quantity * unit_price as total_amount,
+  lower(trim(order_status)) as order_status, order_date, cast(year(order_date) as integer) as order_year,
+  cast(month(order_date) as integer) as order_month, lower(trim(payment_method)) as payment_method,
+  {_title('trim(shipping_city)')} as shipping_city, cast(order_date as timestamp) as _event_ts, _ingest_ts,
+  _ingest_ts as _updated_at, timestamp '{AS_OF}' as _inserted_at, _file_mod_time, _source_file
+from {feed}"""
+
+
+def _staged_customers(feed: str) -> str:
+    return f"""
+select sha256(concat_ws('||', customer_id, cast(event_ts as varchar), cast(_ingest_ts as varchar)))
+    as customer_sk,
+  customer_id, {_title('trim(customer_name)')} as customer_name, lower(trim(email)) as email, signup_date,
+  upper(trim(tier)) as tier, {_title('trim(city)')} as city, is_active, event_ts as _event_ts, _ingest_ts,
+  _ingest_ts as _updated_at, timestamp '{AS_OF}' as _inserted_at, _file_mod_time, _source_file
+from (select *, coalesce(cast(signup_date as timestamp), _ingest_ts) as event_ts from {feed})"""
+
+
 CTES: dict[str, str] = {
     "feed_orders": f"""
 select 'ORD-' || l_orderkey || '-' || l_linenumber as order_id, 'CUST-' || o_custkey as customer_id,
@@ -114,22 +137,21 @@ select case l_returnflag when 'R' then ' delete' when 'A' then 'Update' else 'IN
   l_shipdate + interval {PRODUCT_LAG_DAYS} day as _file_mod_time,
   {_pad('l_orderkey')} || '-' || {_pad('l_linenumber')} || '-' || {_pad('l_suppkey')} as _source_file
 from lineitem left join part on l_partkey = p_partkey""",
-    "st_orders": f"""
-select sha256(concat_ws('||', order_id, cast(cast(order_date as timestamp) as varchar),
-    cast(_ingest_ts as varchar))) as order_sk,
-  order_id, customer_id, product_id, quantity, unit_price, quantity * unit_price as total_amount,
-  lower(trim(order_status)) as order_status, order_date, cast(year(order_date) as integer) as order_year,
-  cast(month(order_date) as integer) as order_month, lower(trim(payment_method)) as payment_method,
-  {_title('trim(shipping_city)')} as shipping_city, cast(order_date as timestamp) as _event_ts, _ingest_ts,
-  _ingest_ts as _updated_at, timestamp '{AS_OF}' as _inserted_at, _file_mod_time, _source_file
+    "feed_dirty_orders": """
+select * replace (case quantity when 1 then 0 when 2 then null when 3 then null else quantity end as quantity,
+  case when quantity not in (4, 5) then order_date end as order_date,
+  case quantity when 6 then -1.5 when 8 then null else unit_price end as unit_price,
+  case when quantity <> 7 then order_id end as order_id)
 from feed_orders""",
-    "st_customers": f"""
-select sha256(concat_ws('||', customer_id, cast(event_ts as varchar), cast(_ingest_ts as varchar)))
-    as customer_sk,
-  customer_id, {_title('trim(customer_name)')} as customer_name, lower(trim(email)) as email, signup_date,
-  upper(trim(tier)) as tier, {_title('trim(city)')} as city, is_active, event_ts as _event_ts, _ingest_ts,
-  _ingest_ts as _updated_at, timestamp '{AS_OF}' as _inserted_at, _file_mod_time, _source_file
-from (select *, cast(signup_date as timestamp) as event_ts from feed_customers)""",
+    "feed_dirty_customers": """
+select * replace (case when tier = '1-URGENT' then replace(email, '@', '.') when tier <> 'BUILDING' then email end
+    as email,
+  case when tier not in ('2-HIGH', '3-MEDIUM') then signup_date end as signup_date)
+from feed_customers""",
+    "st_orders": _staged_orders("feed_orders"),
+    "st_dirty_orders": _staged_orders("feed_dirty_orders"),
+    "st_customers": _staged_customers("feed_customers"),
+    "st_dirty_customers": _staged_customers("feed_dirty_customers"),
     "ch_customers": """
 select * replace (_ingest_ts as _event_ts,
   sha256(concat_ws('||', customer_id, cast(_ingest_ts as varchar), cast(_ingest_ts as varchar)))
@@ -145,6 +167,8 @@ select sha256(concat_ws('||', product_id, cast(cdc_timestamp as varchar), cast(_
 from feed_products""",
     "ver_orders": _versions("st_orders", "order_id"),
     "ver_customers": _versions("ch_customers", "customer_id"),
+    # Sign-up dates as event times: changes of a customer are told apart by their ingest time.
+    "ver_signups": _versions("st_customers", "customer_id"),
     "ver_products": _versions("st_products", "product_id", "operation = 'DELETE'"),
     "cur_orders": "select * from ver_orders where _end4 is null",
     "cur_customers": "select * from ver_customers where _end4 is null",
@@ -353,6 +377,44 @@ BODIES: dict[str, str] = {
   count(distinct customer_id) as active_customers, count(distinct product_id) as active_products,
   count(*) filter (where product_stock_status = 'OUT_OF_STOCK') as out_of_stock_order_lines,
   '{AS_OF}.000000' as kpi_computed_at from fact_ocp where {_REVENUE}""",
+    "scd2_customers_by_signup": f"select {_CUSTOMER_COLUMNS}, {_SPAN} from ver_signups",
+    "pit_join_customer_by_signup": f"""select o.order_sk, c.customer_sk, c.tier from cur_orders o
+  left join ver_signups c on o.customer_id = c.customer_id and {_valid('c', 'o')}""",
+    "hot_scd2_products": f"select {_PRODUCT_COLUMNS}, {_SPAN} from ver_products",
+    "hot_pit_join_product": f"""select o.order_sk, p.product_sk, p.unit_price as catalog_unit_price
+  from cur_orders o left join ver_products p on o.product_id = p.product_id and {_valid('p', 'o')}""",
+    "hot_fact_order_customer": f"""select * replace ({_day('order_date')} as order_date,
+  {_day('signup_date')} as signup_date) from fact_oc""",
+    "stored_current_products": f"select {_PRODUCT_COLUMNS} from cur_products",
+    "stage_dirty_orders": f"select {_ORDER_COLUMNS}, {_AUDIT} from st_dirty_orders",
+    "stage_dirty_customers": f"select {_CUSTOMER_COLUMNS}, {_AUDIT} from st_dirty_customers",
+    "scd2_dirty_customers": "select {}, {} from ({})".format(
+        _CUSTOMER_COLUMNS, _SPAN, _versions("st_dirty_customers", "customer_id")
+    ),
+    "dq_drop_dirty_orders": """select order_sk, quantity, unit_price from st_dirty_orders
+  where quantity > 0 and unit_price > 0""",
+    "dq_report_dirty": " union all ".join(
+        f"select '{name}' as table_name, * from ({_report(source, rules)})"
+        for name, source, rules in (
+            ("orders", "st_dirty_orders", _RULES_ORDERS),
+            ("customers", "st_dirty_customers", _RULES_CUSTOMERS),
+        )
+    ),
+    "dq_report_stream": _report("st_dirty_orders", _RULES_ORDERS),
+    "check_overlap_found": f"""select customer_id, count(*) as overlaps from (
+    select customer_id, {", ".join(
+        f"case when tier <> 'BUILDING' then _end{i} end as e{i}, lead({c}) over w as n{i}"
+        for i, c in enumerate(_SEQ, 1)
+    )}
+    from ver_customers window w as (partition by customer_id order by {', '.join(_SEQ)}))
+  where n4 is not null and (e4 is null or (e1, e2, e3, e4) > (n1, n2, n3, n4)) group by customer_id""",
+    "check_pit_duplicates": """select order_id, customer_id, product_id, count(*) as cnt
+  from (select order_id, customer_id, product_id from pit union all
+    select order_id, customer_id, product_id from pit where price_match_flag = 'MATCH')
+  group by order_id, customer_id, product_id having count(*) > 1""",
+    "check_freshness_by_customer": f"""select customer_id, {_ts('max(_ingest_ts)')} as newest_load_ts,
+  epoch(timestamp '{AS_OF}') - epoch(max(_ingest_ts)) <= 365 * 24 * 3600 as is_fresh
+  from st_customers group by customer_id""",
     "dq_warn_email": "select customer_sk, email from st_customers",
     "dq_drop_orders": "select order_sk, quantity, unit_price from st_orders where quantity > 0 and unit_price > 0",
     "dq_drop_products": "select product_sk, stock_quantity from st_products where stock_quantity >= 0",
