@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions import business as rule
-from shopledger.operators.asof import asof_join
+from shopledger.operators.asof import Changes, asof_join
 from shopledger.operators.history import SEQUENCE
 from shopledger.operators.skew import Hot, lookup_join
 from shopledger.session import moment
@@ -122,15 +122,16 @@ def revenue_orders(orders: DataFrame) -> DataFrame:
 
 def pit_fact(
     orders: DataFrame,
-    customer_versions: DataFrame,
-    product_versions: DataFrame,
+    customer_versions: DataFrame | Changes,
+    product_versions: DataFrame | Changes,
     now: datetime | str | None = None,
     hot: Hots | None = None,
     event_time_only: bool = False,
 ) -> DataFrame:
     """Completed and shipped current orders with the versions valid at order time.
 
-    Positions in time are compared by the whole sequence, or by event time alone.
+    Positions in time are compared by the whole sequence, or by event time alone. Where no version
+    table is stored, the changes themselves will do.
     """
     hot = hot or {}
     at = SEQUENCE[:1] if event_time_only else SEQUENCE
@@ -168,6 +169,11 @@ def pit_fact(
     ).select(*PIT_COLUMNS)
 
 
+def append_facts(fresh: DataFrame, table: str, run: str) -> None:
+    """Appends rows under the id of a run; repeating the run replaces what it wrote before."""
+    fresh.write.mode("overwrite").parquet(f"{table}/run={run}")
+
+
 def new_facts(fact: DataFrame, existing: DataFrame) -> DataFrame:
     """Fact rows whose order version is not in ``existing`` yet, for append-only fact tables."""
     return fact.join(existing.select("order_sk"), "order_sk", "left_anti")

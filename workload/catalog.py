@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.functions import business as rule
-from shopledger.operators.asof import asof_join
+from shopledger.operators.asof import Changes, asof_join
 from shopledger.operators.expectations import apply_expectations, violation_report
 from shopledger.operators.history import (
     DELETED,
@@ -187,8 +187,8 @@ def product_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_in_time(spark: SparkSession, sf_dir: str, event_time_only: bool = False) -> DataFrame:
     return facts.pit_fact(
         current_orders(spark, sf_dir),
-        customer_versions(spark, sf_dir),
-        product_versions(spark, sf_dir),
+        Changes(changed_customers(spark, sf_dir), ties=CUSTOMER_TIES),
+        Changes(staged_products(spark, sf_dir), IS_DELETE, PRODUCT_TIES),
         AS_OF,
         feeds.hot_pit(spark, sf_dir),
         event_time_only,
@@ -343,15 +343,16 @@ def fact_order_customer_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older facts first, then what is new against them: together every fact once."""
+    """Older facts first, then, in a run that happens twice, what is new: every fact once."""
     table = scratch_path(spark, "fact_append")
     columns = ["order_sk", "order_id", "customer_sk", "order_amount_band"]
     fact = customer_fact(spark, sf_dir)
     older = fact.filter(F.col("order_date") < "1999-01-01").select(*columns)
-    older.write.mode("append").parquet(table)
-    fresh = facts.new_facts(fact, spark.read.parquet(table)).select(*columns)
-    fresh.write.mode("append").parquet(table)
-    return spark.read.parquet(table)
+    facts.append_facts(older, table, "1")
+    for _ in range(2):
+        known = spark.read.parquet(table).filter("run < 2")
+        facts.append_facts(facts.new_facts(fact, known).select(*columns), table, "2")
+    return spark.read.parquet(table).drop("run")
 
 
 @query
