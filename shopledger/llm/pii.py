@@ -2,11 +2,15 @@
 
 One pass over the whole texts finds e-mail addresses, IP addresses, card and phone numbers. They are
 the seeds. The pass also notes every other token that looks like an identifier, each with its
-lexical patterns: the word before it or after it together with the token's shape. Matches that fail
-their kind's check, such as a card number's checksum, are known not to be one. Spark then scores the
-graph of patterns and identifiers for a few rounds: a pattern is as trustworthy as the
-identifiers it occurs with, an identifier as its best patterns. Tokens that occur in patterns above
-``least_confidence`` are added as ``ctx_<kind>`` spans; seeds stay what they are.
+patterns: the word before it or after it together with the token's shape, contexts that leave the
+shape out, and the form, which is the shape alone. Matches that fail their kind's check, such as a
+card number's checksum, are known not to be one. Spark then scores the graph of patterns and
+identifiers for a few rounds: a pattern is as trustworthy as the identifiers it occurs with, an
+identifier as its best patterns. A context vouches for an identifier only as far as the other
+identifiers of its form occur in trusted contexts too, so a form no seed has is learned from several
+identifiers, never from one. Tokens are added as ``ctx_<kind>`` spans where a pattern of word and
+shape, the form among the seeds, or context and form together reach ``least_confidence``; seeds stay
+what they are.
 
 Defined cases: NULL text is empty and has no spans; repeated rows get the same spans, and copies of
 a text count once in the graph; spans never overlap a span of a seed; ties between kinds go to the
@@ -22,7 +26,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.llm.common import body, settle
@@ -47,6 +51,9 @@ LONGEST_TOKEN = 64
 ROUNDS = 4
 LEAST_CONFIDENCE = 0.8
 LEAST_SUPPORT = 5
+# Marks of patterns; words and shapes hold no tab.
+FORM = "form\t"
+CONTEXT = "context\t"
 # Unknown identifiers a pattern is assumed to have met before any of its own.
 DOUBT = 1.0
 
@@ -113,6 +120,26 @@ def looks_like_identifier(token: str) -> bool:
     return "@" in token[1:-1] or sum("0" <= c <= "9" for c in token) >= 4
 
 
+def form_of(value: str) -> str:
+    """The shape, and whether a number of a card's length passes the checksum."""
+    digits = only_digits(value)
+    return shape(value) + "!" * (14 <= len(digits) <= 19 and luhn(digits))
+
+
+def patterns_of(value: str, before: str, after: str) -> list[str]:
+    """Words with the shape, the form alone, and contexts with no more than a coarse class."""
+    own = shape(value)[:LONGEST_TOKEN]
+    coarse = "@" if "@" in value else "0"
+    out = [FORM + form_of(value)[:LONGEST_TOKEN]]
+    if before:
+        out += [f"{before} {own}", f"{CONTEXT}{before} {coarse} "]
+    if after:
+        out += [f"{own} {after}", f"{CONTEXT} {coarse} {after}"]
+    if before and after:
+        out.append(f"{CONTEXT}{before} {after}")
+    return out
+
+
 def neighbour(word: str) -> str:
     return re.sub(r"[0-9]", "0", word.strip(MARKS).lower())[:LONGEST_TOKEN]
 
@@ -155,8 +182,7 @@ def occurrences(
         before = neighbour(text[slice(*words[i - 1])]) if i else ""
         j = _index(starts, end - 1) + 1
         after = neighbour(text[slice(*words[j])]) if j < len(words) else ""
-        form = shape(value)[:LONGEST_TOKEN]
-        patterns = [f"{before} {form}"] * bool(before) + [f"{form} {after}"] * bool(after)
+        patterns = patterns_of(value, before, after)
         out.append(
             {"kind": kind, "start": start, "end": end, "value": value, "patterns": patterns}
         )
@@ -212,33 +238,58 @@ def edges(scanned: DataFrame) -> DataFrame:
 def score_patterns(
     graph: DataFrame, rounds: int = ROUNDS, least_support: int = LEAST_SUPPORT
 ) -> DataFrame:
-    """pattern, kind, confidence, support after some rounds over the graph.
+    """pattern, kind, confidence, support, seeded after some rounds over the graph.
 
-    Patterns of one identifier only say nothing about others and are left out from the start; each
-    round's scores are written, so that a lost executor repeats one round.
+    ``seeded`` is a form's confidence by the seeds alone, NULL for other patterns. Patterns of one
+    identifier only say nothing about others and are left out from the start; each round's scores
+    are written, so that a lost executor repeats one round.
     """
     sizes = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("support"))
     sizes = sizes.filter(F.col("support") >= least_support)
     graph = settle(graph.join(sizes, "pattern"), "pii-graph")
+    is_form, is_context = F.col("pattern").startswith(FORM), F.col("pattern").startswith(CONTEXT)
+    of_value = graph.filter(is_form).select("value", F.col("pattern").alias("_form"), "support")
+    doubted = F.sum("score") / (F.first("support") + F.lit(DOUBT))
     seeds = graph.filter(F.col("seed") != FAILED)
     belief = seeds.select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-    scored = None
+    scored = forms = seeded = None
     for _ in range(rounds):
         told = graph.select("pattern", "value", "support").join(belief, "value")
         scored = told.groupBy("pattern", "kind").agg(
-            (F.sum("score") / (F.first("support") + F.lit(DOUBT))).alias("confidence"),
-            F.first("support").alias("support"),
+            doubted.alias("confidence"), F.first("support").alias("support")
         )
         scored = settle(scored, "pii-patterns")
+        if seeded is None:
+            seeded = scored.filter(is_form).select(
+                "pattern", "kind", F.col("confidence").alias("seeded")
+            )
         voiced = graph.join(scored.drop("support"), "pattern").groupBy("value", "kind")
-        belief = voiced.agg(
+        voiced = voiced.agg(
             F.max(F.when(F.col("seed") == F.col("kind"), 1.0).otherwise(0.0)).alias("_seed"),
-            F.max("confidence").alias("_best"),
+            F.max(F.when(~is_form & ~is_context, F.col("confidence"))).alias("_own"),
+            F.max(F.when(is_context, F.col("confidence"))).alias("_context"),
             F.max(F.col("seed").isNotNull()).alias("_known"),
         )
-        mark = F.when(F.col("_seed") == 1.0, 1.0).when(F.col("_known"), 0.0).otherwise(F.col("_best"))
-        belief = settle(belief.select("value", "kind", mark.alias("score")), "pii-belief")
-    return scored
+        own = F.coalesce("_own", F.lit(0.0))
+        known = F.when(F.col("_seed") == 1.0, 1.0).when(F.col("_known"), 0.0)
+        first = known.otherwise(F.greatest(own, F.coalesce("_context", F.lit(0.0))))
+        voiced = settle(voiced.withColumn("score", first), "pii-voiced")
+        # A form's confidence counts all identifiers of the form, those without a context too.
+        forms = of_value.join(voiced.select("value", "kind", "score"), "value")
+        forms = forms.groupBy("_form", "kind").agg(
+            doubted.alias("_by_form"), F.first("support").alias("support")
+        )
+        forms = settle(forms, "pii-forms")
+        told = voiced.join(of_value.drop("support"), "value", "left")
+        told = told.join(forms.drop("support"), ["_form", "kind"], "left")
+        both = F.least(F.coalesce("_context", F.lit(0.0)), F.coalesce("_by_form", F.lit(0.0)))
+        mark = known.otherwise(F.greatest(own, both))
+        belief = settle(told.select("value", "kind", mark.alias("score")), "pii-belief")
+    forms = forms.select(
+        F.col("_form").alias("pattern"), "kind", F.col("_by_form").alias("confidence"), "support"
+    )
+    every = scored.filter(~is_form).unionByName(forms)
+    return every.join(seeded, ["pattern", "kind"], "left")
 
 
 def find(
@@ -250,21 +301,27 @@ def find(
     """doc_id, spans (base), added (struct of kind, start, end), base_sha256 per text."""
     scanned = scan(documents)
     patterns = score_patterns(edges(scanned), rounds, least_support)
-    order = F.when(F.lit(False), 0)
-    for i, kind in enumerate(KINDS):
-        order = order.when(F.col("kind") == kind, i)
-    best = Window.partitionBy("pattern").orderBy(F.col("confidence").desc(), order)
-    # At most one row per kind and pattern meets here.
-    trusted = patterns.filter(F.col("confidence") >= least_confidence)
-    trusted = trusted.withColumn("_n", F.row_number().over(best)).filter("_n = 1")
-    trusted = trusted.select("pattern", F.col("kind").alias("found"))
+    trusted = patterns.filter(F.greatest("confidence", "seeded") >= least_confidence)
+    trusted = trusted.select("pattern", F.col("kind").alias("found"), "confidence", "seeded")
     open_tokens = scanned.select("_row", F.explode("tokens").alias("t"))
     open_tokens = open_tokens.filter(F.col("t.kind").isNull())
     open_tokens = open_tokens.select(
         "_row", "t.start", "t.end", F.explode("t.patterns").alias("pattern")
     )
-    hits = open_tokens.join(trusted, "pattern").groupBy("_row", "start", "end")
-    hits = hits.agg(F.min("found").alias("found"))
+    is_form, is_context = F.col("pattern").startswith(FORM), F.col("pattern").startswith(CONTEXT)
+    best = lambda when: F.coalesce(F.max(F.when(when, F.col("confidence"))), F.lit(0.0))
+    hits = open_tokens.join(trusted, "pattern").groupBy("_row", "start", "end", "found").agg(
+        F.greatest(
+            best(~is_form & ~is_context),
+            F.coalesce(F.max("seeded"), F.lit(0.0)),
+            F.least(best(is_form), best(is_context)),
+        ).alias("_score")
+    )
+    order = F.when(F.lit(False), 0)
+    for i, kind in enumerate(KINDS):
+        order = order.when(F.col("found") == kind, -i)
+    hits = hits.filter(F.col("_score") >= least_confidence).groupBy("_row", "start", "end")
+    hits = hits.agg(F.max_by("found", F.struct("_score", order)).alias("found"))
     span = F.struct(F.concat(F.lit("ctx_"), "found").alias("kind"), "start", "end")
     added = hits.groupBy("_row").agg(F.collect_list(span).alias("added"))
     rows = scanned.drop("tokens").join(added, "_row", "left")

@@ -170,6 +170,29 @@ def test_pattern_graph_adds_and_spares(spark):
     assert got["id 000"] > 0.8 and got["of 000"] <= got["id 000"]
 
 
+def test_contexts_discover_new_forms(spark):
+    ok = [f"4{i:015d}" for i in range(100_000) if pii.luhn(f"4{i:015d}")][:60]
+    rows = [(i, f"pay with card {c} now please") for i, c in enumerate(ok)]
+    rows += [(200 + i, f"write to user{i}@host{i}.example today") for i in range(60)]
+    rows += [(300 + i, f"call on +1 (269) 555-{3000 + i} soon") for i in range(60)]
+    # Forms no seed has, in the seeds' places.
+    rows += [(400 + i, f"pay with card 4{i:02d}a-2222-3333 now please") for i in range(12)]
+    rows += [(500 + i, f"write to {'abcdefghijkl'[i]}@localhost today") for i in range(12)]
+    rows += [(600 + i, f"call on 555-{4000 + i} soon") for i in range(12)]
+    # A form that occurs elsewhere, a single odd token, and numbers that fail their check.
+    rows += [(700 + i, f"signed {2000 + i}-01-01 in town") for i in range(30)]
+    rows += [(800, "pay with card 2000-01-01 now please"), (801, "write to 77777@lan today")]
+    rows += [(900 + i, f"lot {4 * 10**15 + 10 * i + 1} sold") for i in range(20) if not pii.luhn(f"{4 * 10**15 + 10 * i + 1}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    found = {r.doc_id: r.added for r in pii.find(df).collect()}
+    got = {i: [(s.kind, text[i][s.start : s.end]) for s in a] for i, a in found.items() if a}
+    want = {400 + i: [("ctx_card", f"4{i:02d}a-2222-3333")] for i in range(12)}
+    want |= {500 + i: [("ctx_email", f"{'abcdefghijkl'[i]}@localhost")] for i in range(12)}
+    want |= {600 + i: [("ctx_phone", f"555-{4000 + i}")] for i in range(12)}
+    assert got == want
+
+
 def test_pii_edges(spark, docs):
     out = pii.report(pii.find(docs)).toPandas()
     row = out[out.doc_id == 12].iloc[0]
