@@ -12,8 +12,14 @@ identifiers, never from one. Tokens are added as ``ctx_<kind>`` spans where a pa
 shape, the form among the seeds, or context and form together reach ``least_confidence``; seeds stay
 what they are.
 
+Candidates are tokens of any length, runs of adjacent tokens with digits, and parts of base matches
+that have too few or too many digits. Of a run or such a match all stretches are taken that have no
+more digits than the longest base kind, besides the whole; stretches of more digits than that which
+are not the whole are left out, so that a table of numbers costs linear work.
+
 Defined cases: NULL text is empty and has no spans; repeated rows get the same spans, and copies of
-a text count once in the graph; spans never overlap a span of a seed; ties between kinds go to the
+a text count once in the graph; spans never overlap a span of a seed nor
+each other, the leftmost and then the longest stays; ties between kinds go to the
 first in the order email, ip, card, phone; an empty table gives no rows. Only doc_id and text are
 read, so further columns cannot clash.
 """
@@ -46,7 +52,11 @@ LOCAL_CHARACTERS = frozenset(
 )
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 MARKS = ".,;:!?()[]{}<>\"'"
-LONGEST_TOKEN = 64
+BREAKS = ".,;:!?[]{}<>\"'"
+PIECE = re.compile(r"[^\x20-]+")
+# Longer values and forms are known by their digest, longer neighbours by their beginning.
+LONGEST_KEY = 64
+MOST_DIGITS = 19
 
 ROUNDS = 4
 LEAST_CONFIDENCE = 0.8
@@ -74,12 +84,15 @@ def only_digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
-def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+def base_spans(
+    text: str,
+) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], list[tuple[int, int]]]:
     """(kind, start, end) by start, then kind; leftmost, non-overlapping per kind.
 
-    And the look-alikes: addresses and card-length numbers that fail their check.
+    And the look-alikes: addresses and card-length numbers that fail their check. And the spans of
+    numbers dropped for their count of digits.
     """
-    found, failed = [], []
+    found, failed, dropped = [], [], []
     if "@" in text:
         floor = 0
         for m in DOMAIN.finditer(text):
@@ -101,11 +114,15 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
                 found.append((m.start(), 2, m.end()))
             else:
                 failed.append((FAILED, *m.span()))
+        else:
+            dropped.append(m.span())
     if "+" in text:
         for m in PHONE.finditer(text):
             if 10 <= len(only_digits(m.group())) <= 15:
                 found.append((m.start(), 3, m.end()))
-    return [(KINDS[k], start, end) for start, k, end in sorted(found)], failed
+            else:
+                dropped.append(m.span())
+    return [(KINDS[k], start, end) for start, k, end in sorted(found)], failed, dropped
 
 
 def shape(token: str) -> str:
@@ -115,9 +132,15 @@ def shape(token: str) -> str:
 
 
 def looks_like_identifier(token: str) -> bool:
-    if not 5 <= len(token) <= LONGEST_TOKEN:
+    if len(token) < 5:
         return False
-    return "@" in token[1:-1] or sum("0" <= c <= "9" for c in token) >= 4
+    return "@" in token[1:-1] or len(only_digits(token)) >= 4
+
+
+def key(value: str) -> str:
+    if len(value) <= LONGEST_KEY:
+        return value
+    return hashlib.sha256(value.encode("utf-8", "replace")).hexdigest()
 
 
 def form_of(value: str) -> str:
@@ -128,9 +151,9 @@ def form_of(value: str) -> str:
 
 def patterns_of(value: str, before: str, after: str) -> list[str]:
     """Words with the shape, the form alone, and contexts with no more than a coarse class."""
-    own = shape(value)[:LONGEST_TOKEN]
+    own = key(shape(value))
     coarse = "@" if "@" in value else "0"
-    out = [FORM + form_of(value)[:LONGEST_TOKEN]]
+    out = [FORM + key(form_of(value))]
     if before:
         out += [f"{before} {own}", f"{CONTEXT}{before} {coarse} "]
     if after:
@@ -141,20 +164,52 @@ def patterns_of(value: str, before: str, after: str) -> list[str]:
 
 
 def neighbour(word: str) -> str:
-    return re.sub(r"[0-9]", "0", word.strip(MARKS).lower())[:LONGEST_TOKEN]
+    return re.sub(r"[0-9]", "0", word.strip(MARKS).lower())[:LONGEST_KEY]
+
+
+def stretches(text: str, pieces: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The pieces, what adjacent ones make with at most MOST_DIGITS digits, and the whole."""
+    digits = [len(only_digits(text[slice(*p)])) for p in pieces]
+    for i, (start, _) in enumerate(pieces):
+        total = 0
+        for j in range(i, len(pieces)):
+            total += digits[j]
+            if j > i and total > MOST_DIGITS:
+                break
+            yield start, pieces[j][1]
+    if len(pieces) > 1:
+        yield pieces[0][0], pieces[-1][1]
+
+
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without marks around it, but with the other bracket of one within several words."""
+    inner = text[start:end].strip(MARKS)
+    first = start + text[start:end].index(inner)
+    last = first + len(inner)
+    if " " in inner or "\t" in inner:
+        opened, closed = inner.count("("), inner.count(")")
+        if closed > opened and first > start and text[first - 1] == "(":
+            first -= 1
+        if opened > closed and last < end and text[last] == ")":
+            last += 1
+    return first, last
 
 
 def occurrences(
-    text: str, spans: list[tuple[str, int, int]], failed: list[tuple[str, int, int]]
+    text: str,
+    spans: list[tuple[str, int, int]],
+    failed: list[tuple[str, int, int]],
+    dropped: list[tuple[int, int]] = (),
 ) -> list[dict]:
-    """Seeds, failed look-alikes and identifier-like tokens with their lexical patterns, by start."""
-    if not (spans or re.search(r"[0-9]{2}|@", text)):
+    """Seeds, failed look-alikes and other candidates with their patterns, by start."""
+    if not (spans or re.search(r"@|[0-9](?:[^0-9]*[0-9]){3}", text)):
         return []
     places: list[tuple[int, int, str | None]] = []
     words: list[tuple[int, int]] = []
     seeds = [(start, end, kind) for kind, start, end in spans]
     apart = lambda s, e: all(e <= a or s >= b for a, b, _ in seeds)
     seeds = sorted(seeds + [(s, e, kind) for kind, s, e in failed if apart(s, e)])
+    runs: list[list[tuple[int, int]]] = []
     at, reach = 0, -1
     for m in TOKEN.finditer(text):
         start, end = m.span()
@@ -170,13 +225,56 @@ def occurrences(
                 places.append((s, e, kind))
                 reach = max(reach, e)
         if not covered:
-            inner = m.group().strip(MARKS)
-            if looks_like_identifier(inner):
-                first = start + m.group().index(inner)
-                places.append((first, first + len(inner), None))
+            if only_digits(m.group()):
+                # A run goes on over blanks on a line, up to a mark.
+                follows = (
+                    runs
+                    and len(words) > 1
+                    and runs[-1][-1] == words[-2]
+                    and not text[words[-2][1] : start].strip(" \t")
+                    and text[words[-2][1] - 1] not in BREAKS
+                    and text[start] not in BREAKS
+                )
+                if follows:
+                    runs[-1].append((start, end))
+                else:
+                    runs.append([(start, end)])
+            elif "@" in m.group():
+                runs.append([(start, end)])
+    # What the seeds cover, without overlaps, to look up by bisection.
+    covers: list[tuple[int, int]] = []
+    for start, end, _ in seeds:
+        if covers and start < covers[-1][1]:
+            covers[-1] = (covers[-1][0], max(end, covers[-1][1]))
+        else:
+            covers.append((start, end))
+    lefts = [start for start, _ in covers]
+    for start, end in dropped:
+        runs.append([(start + m.start(), start + m.end()) for m in PIECE.finditer(text[start:end])])
+        runs.append([(start, end)])
+    taken = set()
+    for run in runs:
+        single = set(run)
+        for stretch in stretches(text, run):
+            start, end = trimmed(text, *stretch)
+            i = _index(lefts, end - 1)
+            if (start, end) in taken or (i >= 0 and covers[i][1] > start):
+                continue
+            value = text[start:end]
+            if not looks_like_identifier(value):
+                continue
+            kind = None
+            if CARD.fullmatch(value) and 14 <= len(only_digits(value)) <= MOST_DIGITS:
+                if not luhn(only_digits(value)):
+                    # A number of its own is known not to be a card; several say nothing.
+                    if stretch not in single:
+                        continue
+                    kind = FAILED
+            taken.add((start, end))
+            places.append((start, end, kind))
     starts = [s for s, _ in words]
     out = []
-    for start, end, kind in places:
+    for start, end, kind in sorted(places, key=lambda p: p[:2]):
         value = text[start:end]
         i = _index(starts, start)
         before = neighbour(text[slice(*words[i - 1])]) if i else ""
@@ -184,7 +282,7 @@ def occurrences(
         after = neighbour(text[slice(*words[j])]) if j < len(words) else ""
         patterns = patterns_of(value, before, after)
         out.append(
-            {"kind": kind, "start": start, "end": end, "value": value, "patterns": patterns}
+            {"kind": kind, "start": start, "end": end, "value": key(value), "patterns": patterns}
         )
     return out
 
@@ -206,9 +304,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, tokens, digests = [], [], []
         for value in batch.column("text"):
             text = value.as_py() or ""
-            base, failed = base_spans(text)
+            base, failed, dropped = base_spans(text)
             spans.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
-            tokens.append(occurrences(text, base, failed))
+            tokens.append(occurrences(text, base, failed, dropped))
             digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
@@ -228,6 +326,20 @@ def scan(documents: DataFrame) -> DataFrame:
     return settle(found.withColumn("_row", F.monotonically_increasing_id()), "pii-scan")
 
 
+def _disjoint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of overlapping spans the leftmost and then the longest."""
+    for batch in batches:
+        kept = []
+        for spans in batch.column("added").to_pylist():
+            kept.append([])
+            for span in sorted(spans, key=lambda s: (s["start"], -s["end"])):
+                if not kept[-1] or span["start"] >= kept[-1][-1]["end"]:
+                    kept[-1].append(span)
+        kinds = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+        columns = [batch.column("_row"), pa.array(kept, pa.list_(kinds))]
+        yield pa.RecordBatch.from_arrays(columns, names=["_row", "added"])
+
+
 def edges(scanned: DataFrame) -> DataFrame:
     """pattern, value, seed: distinct edges; seed is the kind, "none" for look-alikes, or NULL."""
     flat = scanned.select(F.explode("tokens").alias("t"))
@@ -324,6 +436,7 @@ def find(
     hits = hits.agg(F.max_by("found", F.struct("_score", order)).alias("found"))
     span = F.struct(F.concat(F.lit("ctx_"), "found").alias("kind"), "start", "end")
     added = hits.groupBy("_row").agg(F.collect_list(span).alias("added"))
+    added = added.mapInArrow(_disjoint, f"_row long, added array<{SPAN}>")
     rows = scanned.drop("tokens").join(added, "_row", "left")
     none = F.array().cast(f"array<{SPAN}>")
     return rows.select(

@@ -193,6 +193,28 @@ def test_contexts_discover_new_forms(spark):
     assert got == want
 
 
+def test_candidates_are_runs_parts_and_of_any_length(spark):
+    def values(text):
+        found = pii.occurrences(text, *pii.base_spans(text))
+        return {text[o["start"] : o["end"]] for o in found if o["kind"] is None}
+
+    long = "k" * 70 + "-12345"
+    assert values("no other digits a1b2c3d4 here") == {"a1b2c3d4"} and long in values(f"see {long} now")
+    assert {"1 2 3 4 5", "12 34 56"} <= values("the 1 2 3 4 5 or 12 34 56, 78")
+    assert "56, 78" not in values("the 12 34 56, 78") and "555-4081" in values("tel:555-4081x")
+    assert len(values("7 " * 2000)) < 2000
+    known = [(i, f"call on +1 (269) 555-{3000 + i} soon") for i in range(60)]
+    known += [(100 + i, f"call on 555 {4000 + i} soon") for i in range(12)]
+    known += [(200, "Des +1 (826) 555-4081 190.137.223.204 du"), (201, "an +1 (843) 555-7672 10.0.0.1")]
+    df = spark.createDataFrame(known, "doc_id long, text string")
+    text = dict(known)
+    found = {r.doc_id: r.added for r in pii.find(df).collect()}
+    got = {i: [(s.kind, text[i][s.start : s.end]) for s in a] for i, a in found.items() if a}
+    want = {100 + i: [("ctx_phone", f"555 {4000 + i}")] for i in range(12)}
+    want |= {200: [("ctx_phone", "+1 (826) 555-4081")], 201: [("ctx_phone", "+1 (843) 555-7672")]}
+    assert got == want
+
+
 def test_pii_edges(spark, docs):
     out = pii.report(pii.find(docs)).toPandas()
     row = out[out.doc_id == 12].iloc[0]
