@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shopledger.llm import compress_quality, line_dedup, mixing, near_dedup, packing
 from shopledger.llm.common import settle, share_package, table
 
+# Share alone decides; only a page of its own says nothing about its source.
+LEAST_PAGES = 2
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the compression classifier accepts; it learns from the labelled ones."""
@@ -22,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without lines that are boilerplate of their source."""
-    return line_dedup.strip(docs)
+    """The documents without lines that are boilerplate of their source, however small that is."""
+    return line_dedup.strip(docs, least_pages=LEAST_PAGES)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,10 @@ def test_stages_keep_columns_and_follow_each_other(spark):
     for name, stage in corpus_pipeline.STAGES:
         nothing = corpus_pipeline.settle(stage(spark, nothing, SF_DIR), name)
     assert nothing.count() == 0
+
+
+def test_small_sources_lose_their_boilerplate(spark):
+    rows = [(i, f"Accept cookies\nbody {i}", "small") for i in range(8)] + [(90, "Alone\nhere", "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, df, SF_DIR).collect()}
+    assert out == {i: f"body {i}" for i in range(8)} | {90: "Alone\nhere"}
