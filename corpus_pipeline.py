@@ -3,15 +3,16 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's documents. All but the last return the columns of documents; the last
 returns one row per packed piece. A document copied by the mix is packed once per copy, and its
-copies end in different bins.
+copies, the shortened one at the mix's cut too, end in different bins.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopledger.llm import compress_quality, line_dedup, mixing, near_dedup, packing
-from shopledger.llm.common import settle, share_package, table
+from shopledger.llm.common import body, settle, share_package, table
 
 # Share alone decides; only a page of its own says nothing about its source.
 LEAST_PAGES = 2
@@ -41,9 +42,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of documents for training sequences."""
+    """Bins of documents for training sequences; copies of a document are a cluster."""
     share_package(spark)
-    return packing.pack(docs)
+    # Near duplicates are gone by now, and the copy at a mix's cut is shorter than the others.
+    same = F.coalesce(F.concat(F.lit("doc "), F.col("doc_id").cast("string")), F.md5(body()))
+    return packing.pack(docs.withColumn("__cluster", same), cluster="__cluster")
 
 
 STAGES = [

@@ -50,3 +50,11 @@ def test_small_sources_lose_their_boilerplate(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, df, SF_DIR).collect()}
     assert out == {i: f"body {i}" for i in range(8)} | {90: "Alone\nhere"}
+
+
+def test_shortened_copies_are_packed_apart(spark):
+    rows = [(1, "a b c d e", "s"), (1, "a b c", "s"), (2, "f g", "s"), (None, "h", "s"), (None, "h", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.pack(spark, df, SF_DIR).collect()
+    assert len({r.bin_id for r in out if r.doc_id == 1}) == 2
+    assert len({r.bin_id for r in out if r.doc_id is None}) == 2
