@@ -129,6 +129,8 @@ def ingest_csv_evolving(
 ) -> None:
     """New CSV files whose layouts may differ: columns are matched by header name.
 
+    All files count whatever their names, but for those Spark takes as hidden (``_`` or ``.`` first).
+
     Columns not seen before are appended to the stored schema, as text unless ``infer``; types stay
     as first stored, and values that do not fit are rescued. Rows of files without a column hold
     NULL. Each micro-batch writes its own folder, replaced if the batch has to be repeated.
@@ -136,7 +138,6 @@ def ingest_csv_evolving(
     listing = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(source)
         .select("path")

@@ -1,3 +1,4 @@
+import gzip
 import os
 from datetime import date
 
@@ -84,6 +85,19 @@ def test_columns_are_matched_by_name_and_added(spark, paths):
     assert got.filter("_source_file IS NULL").count() == 0
 
 
+def test_files_of_any_name_are_ingested(spark, paths):
+    landing, table, state = paths
+    drop(landing, "a.csv", "id,qty\n1,1\n")
+    drop(landing, "b.CSV", "id,qty\n2,1\n")
+    drop(landing, "part-0003", "id,qty\n3,1\n")
+    with gzip.open(os.path.join(landing, "d.csv.gz"), "wt") as file:
+        file.write("id,qty\n4,1\n")
+    drop(landing, "_SUCCESS", "")
+    drop(landing, ".hidden.csv", "id,qty\n9,1\n")
+    ingest_csv_evolving(spark, landing, table, state)
+    assert sorted(r.id for r in read_evolving(spark, table, state).collect()) == ["1", "2", "3", "4"]
+
+
 def test_backfill_once_beside_new_files(spark, paths, tmp_path):
     landing, table, state = paths
     history = str(tmp_path / "history")
