@@ -16,8 +16,11 @@ from shopledger.llm import (
     near_dedup,
     ngram_trie,
     packing,
+    phrase_dedup,
     pii,
+    prefix_trie,
     quality_rules,
+    shared_search,
     vptree,
 )
 from shopledger.llm.common import share_package, table
@@ -70,6 +73,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(conversations))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = phrase_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("text").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+def op13_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _reachable(build: Query) -> Query:
     """Lets Python workers on this machine import the package from where the driver found it."""
 
@@ -94,10 +111,16 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_line_dedup,
         op10_chat_format,
+        op11_prefix_trie,
+        op12_phrase_dedup,
+        op13_shared_search,
     )
 }
 SQL = {
     "op7_mixing": mixing.SQL,
     "op9_line_dedup": line_dedup.SQL,
     "op10_chat_format": chat.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
+    "op12_phrase_dedup": phrase_dedup.SQL,
+    "op13_shared_search": shared_search.SQL,
 }
