@@ -1,7 +1,8 @@
 """Site-relative line removal.
 
-Pages are grouped by host. A line that more than ``ratio`` of a host's pages contain, and at least
-``least_pages`` of them, is boilerplate of that host and leaves its pages. Exact copies of a page
+Pages are grouped by host. A line that more than ``ratio`` of a host's pages contain is boilerplate
+of that host and leaves its pages; only a line of a single page never is, as that says nothing about
+the host. Exact copies of a page
 count as one page: a page copied a thousand times says nothing about a site's boilerplate, and must
 not lose its own text for having copies.
 
@@ -10,7 +11,8 @@ boilerplate lines, so the joined lists are bounded per host.
 
 Defined cases: NULL text counts as empty and stays NULL; lines without a word are never dropped and
 never counted; the NULL host is a host of its own; a page may lose all its lines and then is empty;
-repeated rows lose the same lines; an empty table gives no rows. All columns pass through.
+repeated rows lose the same lines; an empty table gives no rows. All columns pass through, held in
+a struct meanwhile, so that no name can clash.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from shopledger.llm.common import WORD, body, settle
 
 RATIO = 0.05
-LEAST_PAGES = 20
+LEAST_PAGES = 2
 
 
 def lines(text: Column) -> Column:
@@ -65,35 +67,36 @@ def strip_lines(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     text: str = "text",
-) -> tuple[DataFrame, Column]:
-    """The pages with the boilerplate gone and, as a column over them, the number of lines dropped.
-
-    Columns of the input keep their names; the lines dropped are counted in ``__dropped``.
-    """
+) -> DataFrame:
+    """``row``, the page's columns with the boilerplate gone from its text, and ``dropped`` lines."""
     bad = boilerplate(pages, host, ratio, least_pages, text)
-    lists = bad.groupBy("host").agg(F.collect_set("line_hash").alias("__bad"))
+    lists = bad.groupBy("host").agg(F.collect_set("line_hash").alias("bad"))
     # Written, so that Spark knows its size and broadcasts it only where that is small.
-    lists = settle(lists.withColumnRenamed("host", "__host"), "line-lists")
-    same = F.col("__of").eqNullSafe(F.col("__host"))
-    rows = pages.withColumn("__of", F.col(host).cast("string")).join(lists, same, "left")
-    known = F.coalesce(F.col("__bad"), F.array().cast("array<string>"))
-    split = lines(body(text))
-    left = F.filter(split, lambda x: ~(_worded(x) & F.array_contains(known, F.md5(x))))
-    rows = rows.withColumn("__left", F.when(F.size(known) > 0, left).otherwise(split))
-    dropped = (F.size(lines(body(text))) - F.size("__left")).cast("long")
-    rows = rows.withColumn("__dropped", dropped)
-    changed = F.when(F.col("__dropped") > 0, F.array_join("__left", "\n")).otherwise(F.col(text))
-    out = rows.withColumn(text, changed).drop("__of", "__host", "__bad", "__left")
-    return out.select(*pages.columns, "__dropped"), F.col("__dropped")
+    lists = settle(lists, "line-lists")
+    rows = pages.select(F.struct("*").alias("row"), F.col(host).cast("string").alias("of"))
+    rows = rows.join(lists, F.col("of").eqNullSafe(F.col("host")), "left")
+    split = lines(F.coalesce(F.col(f"row.{text}").cast("string"), F.lit("")))
+    # The host's list is looked through once per page, the page's own hits once per line.
+    hits = F.array_intersect(F.transform(F.filter(split, _worded), lambda x: F.md5(x)), F.col("bad"))
+    rows = rows.withColumn("hits", F.coalesce(hits, F.array().cast("array<string>")))
+    left = F.filter(split, lambda x: ~(_worded(x) & F.array_contains("hits", F.md5(x))))
+    rows = rows.withColumn("left", F.when(F.size("hits") > 0, left).otherwise(split))
+    rows = rows.withColumn("dropped", (F.size(split) - F.size("left")).cast("long"))
+    given = F.col(f"row.{text}")
+    changed = F.when(F.col("dropped") > 0, F.array_join("left", "\n")).otherwise(given)
+    fields = [changed.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in pages.columns]
+    return rows.select(F.struct(*fields).alias("row"), "dropped")
 
 
 def strip(pages: DataFrame, **options: object) -> DataFrame:
     """The pages as documents: columns as before, ``n_chars`` following the text if present."""
-    rows, dropped = strip_lines(pages, **options)
-    if "n_chars" in pages.columns:
-        size = F.length("text").cast("long")
-        rows = rows.withColumn("n_chars", F.when(dropped > 0, size).otherwise(F.col("n_chars")))
-    return rows.select(*pages.columns)
+    rows = strip_lines(pages, **options)
+    text = str(options.get("text", "text"))
+    columns = {c: F.col(f"row.`{c}`") for c in pages.columns}
+    if "n_chars" in columns:
+        size = F.length(f"row.{text}").cast("long")
+        columns["n_chars"] = F.when(F.col("dropped") > 0, size).otherwise(columns["n_chars"])
+    return rows.select(*[column.alias(c) for c, column in columns.items()])
 
 
 SQL = rf"""

@@ -63,9 +63,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, dropped = line_dedup.strip_lines(table(spark, sf_dir, "documents"))
-    text = F.md5(F.coalesce("text", F.lit("")))
-    return rows.select("doc_id", "source", dropped.alias("n_dropped"), text.alias("text_md5"))
+    rows = line_dedup.strip_lines(table(spark, sf_dir, "documents"))
+    text = F.md5(F.coalesce("row.text", F.lit("")))
+    dropped = F.col("dropped").alias("n_dropped")
+    return rows.select("row.doc_id", "row.source", dropped, text.alias("text_md5"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,17 @@
-"""The registered training-data queries and the pipeline on the smallest tables."""
+"""The registered training-data queries on the smallest tables, the pipeline against brute force."""
 
 import os
+import re
+from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from shopledger.llm import common, compress_quality, mixing
 from shopledger.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,3 +64,183 @@ def test_shortened_copies_are_packed_apart(spark):
     out = corpus_pipeline.pack(spark, df, SF_DIR).collect()
     assert len({r.bin_id for r in out if r.doc_id == 1}) == 2
     assert len({r.bin_id for r in out if r.doc_id is None}) == 2
+
+
+# ---- the pipeline's rows against brute force -----------------------------------------------
+
+VOCABULARY = [f"{a}{b}" for a in ("al", "be", "ga", "de", "ep") for b in ("to", "ri", "mu", "na", "ka", "li")]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, row string, left int, of int"
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Good prose with boilerplate and near copies, bad symbol soup, labels for most."""
+    common.share_package(spark)
+    rng = np.random.default_rng(17)
+    rows, labels = [], []
+    for i in range(260):
+        source = "abc"[i % 3] if i % 20 else None
+        text = " ".join(rng.choice(VOCABULARY, int(rng.integers(30, 120))))
+        if i % 7 == 0:
+            text = f"All rights kept by {source}\n{text}"
+        rows.append((i, text, source))
+        labels.append((i, 1))
+    for i in range(260, 380):
+        text = " ".join("".join(rng.choice(list("#$%&xQ"), 6)) for _ in range(int(rng.integers(30, 90))))
+        rows.append((i, text, "abc"[i % 3]))
+        labels.append((i, 0))
+    for i in range(40):
+        near = rows[i * 3][1].split(" ")
+        if i % 2:
+            near[len(near) // 2] = "changed"
+        rows.append((500 + i, " ".join(near), "abc"[i % 3]))
+    rows += [(600, None, "a"), (601, "", "b"), (602, rows[3][1], "c"), (602, rows[3][1], "c"), (None, rows[5][1], "a")]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    table = [(i, t, "en", s, len(t or ""), "r", 1, 2) for i, t, s in rows]
+    spark.createDataFrame(table, COLUMNS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def plain(df):
+    return sorted(((r.doc_id, r.text, r.source) for r in df.collect()), key=repr)
+
+
+def brute_quality(rows, model):
+    """Scored again with plain zstandard, without the operator's scorer."""
+
+    def size(text, dictionary=None):
+        extra = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        return len(zstandard.ZstdCompressor(level=compress_quality.LEVEL, **extra).compress(text))
+
+    kept = []
+    for row in rows:
+        text = (row[1] or "").encode()
+        none = size(text)
+        x = [1.0, (size(text, model.bad) - size(text, model.good)) / none,
+             np.log(none / (len(text) + 16.0)), np.log(len(text) + 16.0)]
+        z = sum(w * v for w, v in zip(model.weights, [a * b for i, a in enumerate(x) for b in x[i:]]))
+        if z >= 0:
+            kept.append(row)
+    return kept
+
+
+def brute_lines(rows, ratio=0.05):
+    pages, holders = defaultdict(set), defaultdict(set)
+    for _, text, source in rows:
+        pages[source].add(text or "")
+        for line in (text or "").split("\n"):
+            if words_of(line):
+                holders[source, line].add(text or "")
+    bad = {k for k, held in holders.items() if len(held) >= 2 and len(held) > ratio * len(pages[k[0]])}
+    out = []
+    for doc_id, text, source in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if (source, x) not in bad]
+        out.append((doc_id, text if len(left) == len(lines) else "\n".join(left), source))
+    return out
+
+
+def brute_dedup(rows, k=5):
+    sets = defaultdict(list)
+    for doc_id, text, _ in rows:
+        w = words_of((text or "").lower())
+        s = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+        sets[doc_id].append(s)
+    ids = sorted(i for i in sets if i is not None)
+    top = {i: i for i in ids}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if any(s and t and 100 * len(s & t) >= 80 * len(s | t) for s in sets[a] for t in sets[b]):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    seen, out = set(), []
+    for row in rows:
+        if row[0] is None or (root(row[0]) == row[0] and row[0] not in seen):
+            seen.add(row[0])
+            out.append(row)
+    return out
+
+
+def test_pipeline_rows_equal_brute_force(spark, corpus):
+    """Each stage on what its predecessor kept; bins are held to the rules of packing."""
+    docs = common.table(spark, corpus, "documents")
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    model = compress_quality.train(docs, common.table(spark, corpus, "labels"))
+    want = plain(docs)
+    for name, brute in (
+        ("quality_classifier", lambda rows: brute_quality(rows, model)),
+        ("line_dedup", brute_lines),
+        ("near_dedup", brute_dedup),
+    ):
+        docs = corpus_pipeline.settle(stages[name](spark, docs, corpus), name)
+        want = sorted(brute(want), key=repr)
+        assert docs.columns == columns and plain(docs) == want, name
+    # Quality: clean texts stay and soup goes.
+    assert 250 <= sum(i is not None and i < 260 for i, *_ in brute_quality(plain(common.table(spark, corpus, "documents")), model))
+    assert not any(i is not None and 260 <= i < 380 for i, *_ in want)
+    assert not any("All rights kept" in (t or "") for _, t, _ in want)
+
+    connection = duckdb.connect()
+    connection.register("documents", docs.select("doc_id", "text", "source").toArrow())
+    goal = {r[0]: r[-1] for r in connection.execute(mixing.SQL).fetchall()}
+    mixed = corpus_pipeline.settle(stages["mixing"](spark, docs, corpus), "mixing")
+    taken, texts = Counter(), {i: t for i, t, _ in want}
+    for doc_id, text, _ in plain(mixed):
+        taken[doc_id] += len(words_of(text))
+        whole = words_of(texts[doc_id])
+        assert words_of(text) == whole[: len(words_of(text))]
+    assert mixed.columns == columns
+    assert {i: n for i, n in taken.items() if n} == {i: n for i, n in goal.items() if n}
+
+    packed = stages["packing"](spark, mixed, corpus).collect()
+    held = Counter()
+    bins = defaultdict(list)
+    for r in packed:
+        held[r.doc_id] += r.n_words
+        if r.bin_id is not None:
+            bins[r.bin_id].append(r)
+    assert {i: n for i, n in held.items() if n} == {i: n for i, n in taken.items() if n}
+    for rows in bins.values():
+        spans = sorted((r.start, r.start + r.n_words) for r in rows)
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+        assert spans[-1][1] <= 4096 and max(Counter(r.doc_id for r in rows).values()) == 1
+
+
+def test_a_small_sample_still_filters(spark, corpus):
+    """Ten bad labels are enough to learn from, and one is learned from too."""
+    docs = common.table(spark, corpus, "documents")
+    labels = common.table(spark, corpus, "labels")
+    for bad in (10, 1):
+        few = labels.filter("quality = 1").limit(20 if bad > 1 else 3)
+        bad_ids = labels.filter("quality = 0").filter(~compress_quality.held_out(F.col("doc_id"))).limit(bad)
+        model = compress_quality.train(docs, few.unionByName(bad_ids))
+        assert len(model.weights) > 1
+        kept = {r.doc_id for r in compress_quality.accepted(docs, model).collect()}
+        if bad > 1:
+            assert len([i for i in range(260, 380) if i in kept]) < 6
+            assert len([i for i in range(260) if i in kept]) > 240
+
+
+def test_long_and_repeated_labelled_rows(spark):
+    """Long labelled texts are learned from; copies of one id are one row of the sample."""
+    rng = np.random.default_rng(2)
+    good = [(i, " ".join(rng.choice(VOCABULARY, 40_000 if i % 2 else 50)), 1) for i in range(0, 60)]
+    bad = [(100 + i, " ".join("#" * int(n) for n in rng.integers(1, 9, 40_000 if i % 2 else 50)), 0) for i in range(60)]
+    bad += [bad[0]] * 400
+    df = spark.createDataFrame([r[:2] for r in good + bad], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in good + bad], "doc_id long, quality int")
+    common.share_package(spark)
+    out = compress_quality.classify(df, labels).toPandas()
+    held = out[out.held_out]
+    assert (held.predicted == (held.doc_id < 100)).all()

@@ -354,6 +354,16 @@ def test_near_duplicates_edges(spark, docs):
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
 
 
+def test_one_of_each_with_clashing_names(spark):
+    rows = [(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60)), (3, prose(2, 60)), (None, prose(1, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.withColumns({n: F.lit(n) for n in ("id", "n", "row", "of", "__id", "__n", "kept")})
+    out = near_dedup.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, r.id, r.n, r.kept) for r in out.collect() if r.doc_id) == [(1, "id", "n", "kept"), (3, "id", "n", "kept")]
+    assert out.count() == 3
+
+
 def test_sketch_fills_every_bin():
     for n in (1, 2, 30, 5000):
         bins = near_dedup.sketch(near_dedup.mixed(np.arange(n, dtype=np.uint64)), 160)
@@ -483,6 +493,18 @@ def test_boilerplate_goes_by_host(spark):
     assert line_dedup.strip(df.filter("false")).count() == 0
 
 
+def test_small_hosts_lose_what_most_of_their_pages_share(spark):
+    rows = [(i, f"Accept cookies\nbody {i}", "small") for i in range(3)] + [(9, "Alone\nhere", "one")]
+    # Names the operator uses inside.
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {n: F.lit(n) for n in ("row", "of", "host", "bad", "hits", "left", "dropped", "__left", "__of", "__bad")}
+    )
+    out = line_dedup.strip(df)
+    assert out.columns == df.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {0: "body 0", 1: "body 1", 2: "body 2", 9: "Alone\nhere"}
+    assert out.select("left", "hits").distinct().collect() == [("left", "hits")]
+
+
 # ---- 10 chat formatting --------------------------------------------------------------------
 
 
