@@ -5,13 +5,15 @@ A text's difference between its compressed sizes under the two, divided by its p
 size, says which kind it resembles; a logistic curve over it, the plain compression ratio and the
 size, fitted on labelled texts that the dictionaries have not seen, turns that into a probability.
 
-The model is fitted on a bounded sample of labelled rows: per class, texts in the order of a hash
-until ``sample_bytes`` are reached, half for the dictionaries and half for the curve. The scan
-scores every whole text.
+The model is fitted on a bounded sample of labelled rows: per class, texts in the order of a hash,
+each taken that still fits into ``sample_bytes``, long ones too; half make the dictionaries and half
+the curve. Where a class has few texts, they are dealt into folds instead, and every text meets
+dictionaries made without its fold. The scan scores every whole text.
 
 Defined cases: NULL text scores as the empty text, which has a score of its own through the curve;
-contradictory or repeated labels of a document count as the smallest; without labels of both
-classes every score is 0.5; repeated rows get equal scores; an empty table gives no rows. Only
+contradictory or repeated labels of a document count as the smallest, and of rows of one doc_id one
+is learned from; without labelled texts of both classes every score is 0.5; repeated rows get equal
+scores; an empty table gives no rows. Only
 doc_id and text are read, so further columns cannot clash.
 """
 
@@ -27,11 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.llm.common import body
+from shopledger.session import materialize
 
 SAMPLE_BYTES = 6_000_000
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
-LONGEST = 100_000
+# Below this many texts of a class, the curve is fitted by folds.
+FOLD_BELOW = 16
+FOLDS = 4
 
 
 @dataclass(frozen=True)
@@ -77,20 +82,28 @@ def fit(good: list[bytes], bad: list[bytes], share_good: float = 0.5) -> Model:
 
     ``share_good`` is the share of good labels among all, which the sample need not have.
     """
-    if len(good) < 16 or len(bad) < 16:
+    if not good or not bad:
         return Model(b"", b"", (0.0,))
-    trained = []
-    for texts in (good, bad):
-        half = texts[: len(texts) // 2]
-        size = min(DICTIONARY_BYTES, max(1024, sum(map(len, half)) // 8))
-        trained.append(dictionary(half, size))
-    start = Model(*trained, (0.0,))
-    scorer = start.scorer()
-    held = [(t, 1.0) for t in good[len(good) // 2 :]] + [(t, 0.0) for t in bad[len(bad) // 2 :]]
-    x = np.array([scorer.features(t) for t, _ in held])
-    y = np.array([label for _, label in held])
+    if min(len(good), len(bad)) >= FOLD_BELOW:
+        trained = [_trained(texts[: len(texts) // 2]) for texts in (good, bad)]
+        scorer = Model(*trained, (0.0,)).scorer()
+        parts = [(scorer, good[len(good) // 2 :], bad[len(bad) // 2 :])]
+    else:
+        trained = [_trained(texts) for texts in (good, bad)]
+        parts = []
+        for fold in range(FOLDS):
+            # The only text of a class is its own dictionary: there is no other.
+            rest = [[t for i, t in enumerate(x) if i % FOLDS != fold] or x for x in (good, bad)]
+            scorer = Model(*map(_trained, rest), (0.0,)).scorer()
+            parts.append((scorer, good[fold::FOLDS], bad[fold::FOLDS]))
+    x = np.array([scorer.features(t) for scorer, *held in parts for t in [*held[0], *held[1]]])
+    y = np.concatenate([[1.0] * len(a) + [0.0] * len(b) for _, a, b in parts])
     w = np.where(y == 1, share_good / y.mean(), (1 - share_good) / (1 - y.mean()))
-    return Model(start.good, start.bad, tuple(map(float, logistic(x, y, w))))
+    return Model(*trained, tuple(map(float, logistic(x, y, w))))
+
+
+def _trained(texts: list[bytes]) -> bytes:
+    return dictionary(texts, min(DICTIONARY_BYTES, max(1024, sum(map(len, texts)) // 8)))
 
 
 def dictionary(texts: list[bytes], size: int) -> bytes:
@@ -151,20 +164,20 @@ def train(documents: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BY
         # A bounded sample: ids in hash order. Average texts reach the bytes far earlier.
         chosen = chosen.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(sample_bytes // 1024)
         rows = documents.select("doc_id", body().alias("text")).join(chosen, "doc_id")
-        size = F.octet_length("text")
-        rows = rows.filter((size > 0) & (size <= LONGEST)).withColumn(
-            "_order", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("-"), "text"))
+        order = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("-"), "text"))
+        rows = rows.filter(F.octet_length("text") > 0).withColumn("_order", order)
+        # One row per id, however many copies carry it, so at most as many rows as ids were chosen.
+        rows = rows.groupBy("doc_id").agg(
+            F.min("_order").alias("_order"), F.min_by("text", "_order").alias("text")
         )
-        found, used = [], 0
-        sizes = rows.select("_order", size.alias("bytes")).orderBy("_order").collect()
-        upto = ""
-        for row in sizes:
-            used += row["bytes"]
-            if used > sample_bytes:
-                break
-            upto = row["_order"]
-        for row in rows.filter(F.col("_order") <= upto).orderBy("_order").select("text").collect():
-            found.append(row["text"].encode("utf-8", "replace"))
+        rows = materialize(rows.withColumn("bytes", F.octet_length("text")))
+        used, fitting = 0, []
+        for row in rows.select("_order", "bytes").orderBy("_order").collect():
+            if used + row["bytes"] <= sample_bytes:
+                used += row["bytes"]
+                fitting.append(row["_order"])
+        taken = rows.filter(F.col("_order").isin(fitting)).orderBy("_order").select("text")
+        found = [row["text"].encode("utf-8", "replace") for row in taken.collect()]
         texts.append(found)
     return fit(*texts, counts.get(1, 0) / max(1, sum(counts.values())))
 

@@ -376,12 +376,12 @@ def one_of_each(documents: DataFrame, **options: int) -> DataFrame:
     Where ids repeat, one row of the id stays.
     """
     found = settle(near_duplicates(documents, **options), "dup-result")
-    ids = found.filter("kept").groupBy("doc_id").count()
-    ids = settle(ids.withColumnsRenamed({"doc_id": "__id", "count": "__n"}), "dup-kept")
-    same = documents["doc_id"].eqNullSafe(F.col("__id"))
-    kept = documents.join(ids.hint("merge"), same).drop("__id")
-    if ids.filter("__n > 1 AND __id IS NOT NULL").isEmpty():
-        return kept.drop("__n")
-    single = kept.filter("__n = 1 OR doc_id IS NULL").drop("__n")
-    repeated = kept.filter("__n > 1 AND doc_id IS NOT NULL").drop("__n")
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+    ids = found.filter("kept").groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    ids = settle(ids, "dup-kept")
+    # The documents' columns wait in a struct, so that none can clash.
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"))
+    kept = rows.join(ids.hint("merge"), F.col("of").eqNullSafe(F.col("id")))
+    if not ids.filter("n > 1 AND id IS NOT NULL").isEmpty():
+        single = kept.filter("n = 1 OR of IS NULL")
+        kept = single.unionByName(kept.filter("n > 1 AND of IS NOT NULL").dropDuplicates(["of"]))
+    return kept.select("row.*")

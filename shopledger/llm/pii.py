@@ -164,7 +164,7 @@ def patterns_of(value: str, before: str, after: str) -> list[str]:
 
 
 def neighbour(word: str) -> str:
-    return re.sub(r"[0-9]", "0", word.strip(MARKS).lower())[:LONGEST_KEY]
+    return key(re.sub(r"[0-9]", "0", word.strip(MARKS).lower()))
 
 
 def stretches(text: str, pieces: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
