@@ -24,6 +24,15 @@ MEDIUM_LIFETIME = 1000
 PRICE_TOLERANCE = 0.01
 
 
+# Parts of an amount in which it is added exactly.
+UNIT = 10_000
+
+
+def whole(amount: Column) -> Column:
+    """An amount in whole parts of ``UNIT``."""
+    return F.round(amount * UNIT).cast("long")
+
+
 def banded(rules: Sequence[tuple[Column, str]], otherwise: str) -> Column:
     """The label of the first rule that holds."""
     condition, label = rules[0]

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.operators.skew import Hot, with_next
+from shopledger.operators.skew import Hot, with_greatest_before, with_next
 
 # The composite that orders changes, and the names of the validity columns.
 SEQUENCE = ("_event_ts", "_ingest_ts", "_file_mod_time", "_source_file")
@@ -96,3 +96,18 @@ def overlaps(version_table: DataFrame, key: str, hot: Hot | None = None) -> Data
     ended = F.col(END).isNull() | (F.col(END) > F.col("_next._from"))
     found = chained.filter(F.col("_next").isNotNull() & ended)
     return found.select(*version_table.columns, F.col("_next._from").alias("_next_start"))
+
+
+def covered(version_table: DataFrame, key: str, hot: Hot | None = None) -> DataFrame:
+    """Versions that start before some earlier version of their key has ended; none are expected.
+
+    Unlike ``overlaps``, which looks at neighbours, this carries the latest end of all earlier
+    versions along, so a version that spans several later ones is met at each of them.
+    ``_covered_until`` is that end, with ``never`` for a version that has none.
+    """
+    until = F.struct(F.col(END).isNull().alias("never"), F.col(END).alias("end"))
+    content = F.xxhash64(*version_table.columns)
+    rows = version_table.withColumns({"_from": F.col(START), "_content": content, "_until": until})
+    seen = with_greatest_before(rows, key, ["_from", "_content"], "_until", "_covered_until", hot)
+    still = F.col("_covered_until.never") | (F.col("_covered_until.end") > F.col("_from"))
+    return seen.filter(still).select(*version_table.columns, "_covered_until")

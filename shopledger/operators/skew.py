@@ -2,7 +2,8 @@
 
 ``hot_keys`` finds keys with more rows than one task should take. The operators here and in
 ``history`` / ``asof`` accept its result and split only those keys; all others take the plain plan.
-Detection reads one column. A missed key costs time, never rows.
+Detection reads one column. A missed key costs time, never rows. A few hot keys are literals of the
+plan; more are a table that Spark joins by its size, so that plans stay short.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shopledger.session import materialize
 
@@ -24,6 +26,8 @@ MAX_SHARE = 1e-4
 # No key above this stays in one task, however large the table is.
 TASK_ROWS = 5_000_000
 SAMPLE_ROWS = 20_000_000
+# Up to so many hot keys are written into the plan.
+LITERAL_KEYS = 1000
 
 
 def hot_keys(
@@ -36,7 +40,8 @@ def hot_keys(
     """Keys (NULL included) holding more than ``group_rows`` rows and ``max_share`` of the table.
 
     The share keeps the answer short, at about ``1 / max_share`` keys, until it would leave more
-    than ``TASK_ROWS`` rows of a key to one task; from there on the limit stays where it is. Large
+    than ``TASK_ROWS`` rows of a key to one task; from there on the limit stays where it is, and the
+    answer holds a key per ``TASK_ROWS`` rows of the table at most. Large
     tables are counted on a sample of about ``sample_rows``, larger where the limit is a smaller
     share of the table; it only steers the split, the rows themselves all stay.
     """
@@ -68,20 +73,41 @@ def is_hot(key: str, hot: Collection[Any]) -> Column:
     return F.when(F.col(key).isNull(), F.lit(None in hot)).otherwise(listed)
 
 
-def _spread(key: str, hot: Hot) -> Column:
-    """Over how many tasks the rows of a key go: 1, or the next power of two for hot keys.
+def _power(splits: int) -> int:
+    return 1 << (splits - 1).bit_length()
 
-    The sum over all hot keys stays below four times the reciprocal of the detection share.
-    """
+
+def _spread(key: str, hot: Hot, other: int = 1) -> Column:
+    """Over how many tasks the rows of a key go: the next power of two for hot keys, else ``other``."""
     by_size: dict[int, list[Any]] = {}
     for value, splits in hot.items():
-        by_size.setdefault(1 << (splits - 1).bit_length(), []).append(value)
-    spread = F.lit(1)
+        by_size.setdefault(_power(splits), []).append(value)
+    spread = F.lit(other)
     for size, values in by_size.items():
         spread = F.when(is_hot(key, values), size).otherwise(spread)
     return spread
 
 
+def marked(rows: DataFrame, key: str, hot: Hot, name: str = "_spread") -> DataFrame:
+    """Adds ``name``: 0, or for a hot key the next power of two of its number of tasks."""
+    if len(hot) > LITERAL_KEYS:
+        kind = rows.select(key).schema[0].dataType
+        shape = StructType([StructField("_hot_key", kind), StructField(name, IntegerType())])
+        sizes = [(value, _power(splits)) for value, splits in hot.items()]
+        table = rows.sparkSession.createDataFrame(sizes, shape)
+        joined = rows.join(table, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        return joined.drop("_hot_key").withColumn(name, F.coalesce(name, F.lit(0)))
+    return rows.withColumn(name, _spread(key, hot, 0))
+
+
+def split(rows: DataFrame, key: str, hot: Hot) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot keys, and the others."""
+    if len(hot) <= LITERAL_KEYS:
+        return rows.filter(is_hot(key, hot)), rows.filter(~is_hot(key, hot))
+    both = marked(rows, key, hot)
+    return both.filter("_spread > 0").drop("_spread"), both.filter("_spread = 0").drop("_spread")
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, hot: Hot | None = None, null_safe: bool = False
 ) -> DataFrame:
@@ -94,8 +120,8 @@ def lookup_join(
     on = [key]
     if hot:
         facts = _salted(facts, key, hot)
-        copies = F.sequence(F.lit(0), _spread(key, hot) - 1)
-        lookup = lookup.withColumn("_salt", F.explode(copies))
+        copies = F.sequence(F.lit(0), F.greatest(F.col("_spread"), F.lit(1)) - 1)
+        lookup = marked(lookup, key, hot).withColumn("_salt", F.explode(copies)).drop("_spread")
         on.append("_salt")
     if not null_safe:
         return facts.join(lookup, on, "left").drop("_salt")
@@ -118,8 +144,7 @@ def _ranges(rows: DataFrame, key: str, order: Sequence[str], hot: Hot) -> DataFr
 def _salted(facts: DataFrame, key: str, hot: Hot) -> DataFrame:
     content = F.xxhash64(*facts.columns)
     salt = F.when(F.col("_spread") > 1, F.pmod(content, F.col("_spread"))).otherwise(0)
-    spread = facts.withColumn("_spread", _spread(key, hot))
-    return spread.withColumn("_salt", salt.cast("int")).drop("_spread")
+    return marked(facts, key, hot).withColumn("_salt", salt.cast("int")).drop("_spread")
 
 
 def with_next(
@@ -147,7 +172,7 @@ def with_next(
 
     if not hot:
         return within(rows, key)
-    heavy = rows.filter(is_hot(key, hot))
+    heavy, light = split(rows, key, hot)
     if drop_copies:
         heavy = heavy.dropDuplicates([key, *order])
     sliced = _ranges(heavy, key, order, hot)
@@ -158,7 +183,7 @@ def with_next(
     # At most one border per range and hot key, so broadcasting has a fixed bound.
     stitched = _attach(within(sliced, key, "_slice"), borders, key)
     heavy = stitched.withColumn(out, F.coalesce(out, "_border")).drop("_slice", "_border")
-    return within(rows.filter(~is_hot(key, hot)), key).unionByName(heavy)
+    return within(light, key).unionByName(heavy)
 
 
 def with_latest(
@@ -173,7 +198,8 @@ def with_latest(
 
     if not hot:
         return within(rows, key)
-    sliced = _ranges(rows.filter(is_hot(key, hot)), key, order, hot)
+    heavy, light = split(rows, key, hot)
+    sliced = _ranges(heavy, key, order, hot)
     position = F.when(F.col(value).isNotNull(), F.struct(*order))
     per_slice = sliced.groupBy(key, "_slice").agg(F.max_by(value, position).alias("_last"))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -181,7 +207,30 @@ def with_latest(
     borders = per_slice.select(key, "_slice", carried.alias("_border"))
     stitched = _attach(within(sliced, key, "_slice"), borders, key)
     heavy = stitched.withColumn(out, F.coalesce(out, "_border")).drop("_slice", "_border")
-    return within(rows.filter(~is_hot(key, hot)), key).unionByName(heavy)
+    return within(light, key).unionByName(heavy)
+
+
+def with_greatest_before(
+    rows: DataFrame, key: str, order: Sequence[str], value: str, out: str, hot: Hot | None = None
+) -> DataFrame:
+    """Adds ``out``: the greatest ``value`` of the key's earlier rows in ``order``, NULL for the first."""
+
+    def within(part: DataFrame, *by: str) -> DataFrame:
+        frame = Window.partitionBy(*by).orderBy(*order)
+        frame = frame.rowsBetween(Window.unboundedPreceding, -1)
+        return part.withColumn(out, F.max(value).over(frame))
+
+    if not hot:
+        return within(rows, key)
+    heavy, light = split(rows, key, hot)
+    sliced = _ranges(heavy, key, order, hot)
+    per_slice = sliced.groupBy(key, "_slice").agg(F.max(value).alias("_top"))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    borders = per_slice.select(key, "_slice", F.max("_top").over(earlier).alias("_border"))
+    stitched = _attach(within(sliced, key, "_slice"), borders, key)
+    # greatest() skips NULL, so the first row of a range takes what came before the range.
+    heavy = stitched.withColumn(out, F.greatest(out, "_border")).drop("_slice", "_border")
+    return within(light, key).unionByName(heavy)
 
 
 def _attach(sliced: DataFrame, borders: DataFrame, key: str) -> DataFrame:

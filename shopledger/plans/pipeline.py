@@ -13,17 +13,18 @@ from shopledger.operators.expectations import Rules, apply_expectations
 from shopledger.operators.history import current
 from shopledger.operators.skew import hot_keys, merge_hot
 from shopledger.plans import facts, marts, rules
+from shopledger.plans.gates import Gate, GateClosed, publish_table
 from shopledger.plans.stage import stage_customers, stage_orders, stage_products
 from shopledger.sources.tables import (
     read_table,
     register_table,
     register_view,
-    replace_table,
     table_path,
 )
 from shopledger.streaming.ingest import (
     FILES,
     backfill,
+    conform,
     counted_run,
     flow_paths,
     flow_schema,
@@ -33,11 +34,12 @@ from shopledger.streaming.ingest import (
     table_schema,
 )
 from shopledger.streaming.versioned import (
-    DELETED,
-    contract_columns,
+    fold_versions,
+    gather_log,
     log_changes,
     read_versions,
     refresh_versions,
+    versions_query,
 )
 
 
@@ -92,16 +94,22 @@ class Pipeline:
         buckets: int = 256,
         now: datetime | str | None = None,
         history: Mapping[str, str] | None = None,
+        gates: Mapping[str, Gate] | None = None,
     ) -> None:
-        """``history``: parquet folders by source folder, taken in once before anything else."""
+        """``history``: parquet folders by source folder, taken in once before anything else.
+
+        ``gates``: conditions on whole tables by name, in place of ``rules.GATES``.
+        """
         self.spark = spark
         self.landing = landing
         self.base = base
         self.buckets = buckets
         self.now = now
         self.history = dict(history or {})
+        self.gates = rules.GATES if gates is None else gates
         # Rows and rule violations of the latest run, per source folder and per mart.
         self.quality: dict[str, dict[str, int]] = {}
+        self.closed: list[GateClosed] = []
 
     def run(self) -> None:
         self.ingest()
@@ -154,6 +162,12 @@ class Pipeline:
             entity.delete,
         )
 
+    def maintain(self) -> None:
+        """Gathers the change logs and folds superseded versions; for the time between runs."""
+        for entity in ENTITIES:
+            gather_log(self.spark, self.path(f"silver.{entity.versioned}_changes"))
+            fold_versions(self.spark, self.path(f"silver.{entity.versioned}"), entity.key)
+
     def _each(self, step: Callable[[Entity], None]) -> None:
         failures: dict[str, Exception] = {}
         with ThreadPoolExecutor(len(ENTITIES)) as pool:
@@ -173,7 +187,16 @@ class Pipeline:
         return read_table(self.spark, self.path(name))
 
     def publish(self) -> None:
-        """Facts and marts, recomputed in full from the version tables."""
+        """Facts and marts, recomputed in full from the version tables.
+
+        Every table with an open gate is published; closed gates are raised together at the end.
+        """
+        self.closed = []
+        self._publish()
+        if self.closed:
+            raise ExceptionGroup("closed gates", self.closed)
+
+    def _publish(self) -> None:
         orders = current(self.versions("silver_orders", only_open=True))
         customers = self.versions("silver_customers")
         products = self.versions("silver_products")
@@ -216,12 +239,17 @@ class Pipeline:
         )
 
     def _save(self, name: str, df: DataFrame, rule_set: Rules | None = None) -> DataFrame:
-        if rule_set is None:
-            return replace_table(df, self.path(name))
-        # Counted while the rows are written, without another scan.
-        seen = Observation(name)
-        table = replace_table(apply_expectations(df, rule_set, seen), self.path(name))
-        self.quality[name] = seen.get
+        """A closed gate leaves this table as it was and does not stop the others."""
+        seen = Observation(name) if rule_set is not None else None
+        # Rules and gate are counted while the rows are written, without another scan.
+        checked = df if rule_set is None else apply_expectations(df, rule_set, seen)
+        try:
+            table = publish_table(checked, self.path(name), name, self.gates.get(name), self.now)
+        except GateClosed as closed:
+            self.closed.append(closed)
+            table = df
+        if seen is not None:
+            self.quality[name] = seen.get
         return table
 
     def register(self, properties: Mapping[str, str] | None = None) -> None:
@@ -233,8 +261,7 @@ class Pipeline:
             query = self._ingested_query(entity)
             register_view(self.spark, name, query, COMMENTS[name], {"layer": "bronze", **extra})
             name = f"silver.{entity.versioned}"
-            columns = ", ".join(f"`{c}`" for c in contract_columns(self.spark, self.path(name)))
-            query = f"SELECT {columns} FROM parquet.`{self.path(name)}` WHERE NOT {DELETED}"
+            query = versions_query(self.spark, self.path(name))
             comment = f"Versions per {entity.key}"
             register_view(self.spark, name, query, comment, {"layer": "silver", **extra})
         for name, comment in COMMENTS.items():
@@ -253,10 +280,5 @@ class Pipeline:
             name = f"bronze.{entity.ingested}_{flow}"
             batch = "batch" if flow == FILES else None
             register_table(self.spark, name, path, f"Flow {flow}", schema=have, partition=batch)
-            shown = [
-                f"try_cast({f'`{f.name}`' if f.name in have.names else 'NULL'}"
-                f" AS {f.dataType.simpleString()}) AS `{f.name}`"
-                for f in schema
-            ]
-            parts.append(f"SELECT {', '.join(shown)} FROM {name}")
+            parts.append(f"SELECT {', '.join(conform(flow, have, schema))} FROM {name}")
         return " UNION ALL ".join(parts)

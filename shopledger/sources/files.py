@@ -7,11 +7,13 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampType
 
 # The lineage columns and the column for text that does not fit the stored type.
 LINEAGE = ("_ingest_ts", "_file_mod_time", "_source_file")
 RESCUED = "_rescued_data"
+# The header of the file a rescued record came from.
+RESCUED_HEADER = "_rescued_header"
 
 
 def read_schema(spark: SparkSession, path: str) -> StructType | None:
@@ -73,6 +75,88 @@ def ingested_schema(stored: StructType) -> StructType:
     return StructType([*stored.fields, *lineage])
 
 
+# What a type can become without losing a value it held, narrowest first.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double", "string"),
+    "smallint": ("int", "bigint", "double", "string"),
+    "int": ("bigint", "double", "string"),
+    "bigint": ("double", "string"),
+    "float": ("double", "string"),
+    "double": ("string",),
+    "date": ("timestamp", "string"),
+    "timestamp": ("string",),
+    "boolean": ("string",),
+}
+
+
+def wider(kept: str, found: str) -> str | None:
+    """The narrowest type that holds what both types do, or None where that is the kept one.
+
+    A whole number above 2^53 is not exact as a double; ``bigint`` meets ``double`` there all the
+    same, as a reader of mixed numbers expects.
+    """
+    if found == kept or kept == "string" or kept in WIDER.get(found, ()):
+        return None
+    if found in WIDER.get(kept, ()):
+        return found
+    return next((t for t in WIDER.get(kept, ()) if t in WIDER.get(found, ())), "string")
+
+
+def stored_as(field: StructField) -> str:
+    """The column that holds a field's values since its type was last widened."""
+    return field.metadata.get("stored_as", field.name)
+
+
+def earlier(field: StructField) -> list[tuple[str, str]]:
+    """Columns and types that held a field's values before its type was widened, oldest first."""
+    return [(name, kind) for name, kind in field.metadata.get("earlier", [])]
+
+
+def widened(field: StructField, kind: str) -> StructField:
+    """The field with a wider type, stored in a column of its own from now on."""
+    before = [*earlier(field), (stored_as(field), field.dataType.simpleString())]
+    history = {"earlier": [list(entry) for entry in before], "stored_as": f"{field.name}#{len(before)}"}
+    return StructField(field.name, DataType.fromDDL(kind), metadata={**field.metadata, **history})
+
+
+def physical_schema(stored: StructType) -> StructType:
+    """The columns of the files: every column a field was or is stored in."""
+    fields = []
+    for field in stored:
+        fields += [StructField(name, DataType.fromDDL(kind)) for name, kind in earlier(field)]
+        fields.append(StructField(stored_as(field), field.dataType))
+    if RESCUED in stored.names:
+        fields.append(StructField(RESCUED_HEADER, StringType()))
+    return StructType(fields)
+
+
+def field_sql(field: StructField, stored: StructType) -> str:
+    """SQL that reads a field from the files' columns, under its present type.
+
+    A widened field is looked for in its earlier columns too, and in the rescued records: there its
+    place in the record is its name's place in the header.
+    """
+    kind = field.dataType.simpleString()
+    if not earlier(field):
+        return f"try_cast(`{stored_as(field)}` AS {kind})"
+    columns = [stored_as(field), *[name for name, _ in reversed(earlier(field))]]
+    parts = [f"try_cast(`{name}` AS {kind})" for name in columns]
+    if RESCUED in stored.names:
+        names = [f"c{i}" for i in range(len(stored))]
+        shape = ", ".join(f"{name} STRING" for name in names)
+
+        def cells(column: str) -> str:
+            # One parse, then its fields as an array.
+            listed = ", ".join(f"s.{name}" for name in names)
+            return f"get(transform(array(from_csv({column}, '{shape}')), s -> array({listed})), 0)"
+
+        name = field.name.replace("\\", "\\\\").replace("'", "\\'")
+        at = f"cast(array_position({cells(RESCUED_HEADER)}, '{name}') AS INT) - 1"
+        # First, as a record's fields may have been cut to the narrower type.
+        parts.insert(0, f"try_cast(get({cells(RESCUED)}, {at}) AS {kind})")
+    return f"coalesce({', '.join(parts)})"
+
+
 def with_lineage(raw: DataFrame) -> DataFrame:
     """All source columns plus ingest time, file modification time and file path."""
     return raw.select(

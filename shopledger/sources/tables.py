@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
@@ -18,16 +18,21 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
+def replace_table(
+    df: DataFrame, path: str, accept: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
     """Writes ``df`` as the new content of the table at ``path`` and returns it as read back.
 
     The table has two folders in turn and a version row that names the one to read, appended once
-    the new one is complete. A failed write leaves readers with the old content.
+    the new one is complete. A failed write leaves readers with the old content, and so does
+    ``accept``, which is given the new content before it is named, if it raises.
     """
     spark = df.sparkSession
     latest = latest_row(spark, f"{path}/{VERSIONS}", VERSION)
     slot = 1 - latest.slot if latest else 0
     df.write.mode("overwrite").parquet(f"{path}/{SLOT}{slot}")
+    if accept is not None:
+        accept(spark.read.parquet(f"{path}/{SLOT}{slot}"))
     append_row(spark, f"{path}/{VERSIONS}", VERSION, slot)
     return read_table(spark, path)
 
@@ -69,6 +74,17 @@ def append_partitions(
     _clustered(df, partition, sort_by).mode("append").parquet(path)
 
 
+def remove_partitions(spark: SparkSession, path: str, column: str, upto: int) -> None:
+    """Removes the folders ``column=n`` of a path with n up to ``upto``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == column and value.isdigit() and int(value) <= upto:
+            files.delete(entry.getPath(), True)
+
+
 def register_table(
     spark: SparkSession,
     name: str,

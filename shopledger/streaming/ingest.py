@@ -7,29 +7,42 @@ whose checkpoint remembers the files it has read.
 from __future__ import annotations
 
 import csv
+import io
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shopledger.sources.files import (
     RESCUED,
+    RESCUED_HEADER,
+    WIDER,
+    append_row,
     csv_options,
+    earlier,
+    field_sql,
     ingested_schema,
+    latest_row,
+    physical_schema,
     read_schema,
     save_schema,
+    stored_as,
     stored_schema,
+    widened,
+    wider,
     with_lineage,
 )
 
 FILES = "files"
 BACKFILL = "backfill"
 FLOWS = (BACKFILL, FILES)
+HEADER = "version long, value string"
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
@@ -126,14 +139,23 @@ def ingest_csv_evolving(
     state: str,
     infer: bool = False,
     files_per_batch: int = 1000,
+    text_share: float = 0.5,
 ) -> None:
     """New CSV files whose layouts may differ: columns are matched by header name.
 
     All files count whatever their names, but for those Spark takes as hidden (``_`` or ``.`` first).
 
-    Columns not seen before are appended to the stored schema, as text unless ``infer``; types stay
-    as first stored, and values that do not fit are rescued. Rows of files without a column hold
-    NULL. Each micro-batch writes its own folder, replaced if the batch has to be repeated.
+    Columns not seen before are appended to the stored schema, as text unless ``infer``. Values that
+    do not fit their type are rescued. Where a batch rescued some, the types of its files are
+    inferred, and a column whose values need a wider type gets it: whole numbers become larger ones
+    or doubles, dates become times. Anything becomes text only when no other type holds the larger
+    part (``text_share``) of the batch's values, so that a stray word does not turn a number into
+    text. Readers then find the column's values in what it was stored in before, and in the rescued
+    records, see ``files.field_sql``; nothing is written again.
+
+    Files are read once where they have the layout of the files before; other layouts take a job
+    over the files' first lines. Rows of files without a column hold NULL. Each micro-batch writes its own folder, replaced if
+    the batch has to be repeated.
     """
     listing = (
         spark.readStream.format("binaryFile")
@@ -144,11 +166,7 @@ def ingest_csv_evolving(
     )
     schema_path = f"{state}/schema"
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        # File names of one micro-batch, at most ``files_per_batch``.
-        layouts = _layouts(spark, [row.path for row in batch.collect()])
-        if not layouts:
-            return
+    def take(layouts: dict[tuple[str, ...], list[str]], batch_id: int) -> None:
         known = read_schema(spark, schema_path) or StructType()
         fields = {f.name: f for f in known if f.name != RESCUED}
         for header, files in layouts.items():
@@ -160,18 +178,91 @@ def ingest_csv_evolving(
         schema = StructType([*fields.values(), *rescue])
         if schema != known:
             save_schema(spark, schema_path, schema)
+        seen = Observation(f"batch {batch_id}")
         parts = []
         for header, files in layouts.items():
-            layout = StructType([*[fields[name] for name in header], *rescue])
+            layout = StructType([*[StructField(n, fields[n].dataType) for n in header], *rescue])
             read = spark.read.schema(layout).options(**csv_options(layout)).csv(files)
-            parts.append(with_lineage(read))
+            read = with_lineage(read).withColumnsRenamed({n: stored_as(fields[n]) for n in header})
+            if infer:
+                line = F.when(F.col(RESCUED).isNotNull(), F.lit(_csv_line(header)))
+                read = read.withColumn(RESCUED_HEADER, line)
+            parts.append(read)
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if infer:
+            rows = rows.observe(seen, F.count(RESCUED).alias("rescued"))
         rows.write.mode("overwrite").parquet(f"{target}/{FILES}/batch={batch_id}")
+        if infer and seen.get["rescued"]:
+            _widen(spark, layouts, fields, schema_path, text_share)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        # File names of one micro-batch, at most ``files_per_batch``.
+        paths = [row.path for row in batch.collect()]
+        last = latest_row(spark, f"{state}/header", HEADER)
+        if last is not None and paths:
+            # Most drops keep their layout. Spark checks every file's header while it reads, so
+            # only a drop with another one is looked through for its headers first.
+            try:
+                take({tuple(next(csv.reader([last.value]))): paths}, batch_id)
+                return
+            except (PySparkException, Py4JJavaError) as error:
+                if "FAILED_READ_FILE" not in str(error):
+                    raise
+        layouts = _layouts(spark, paths)
+        if layouts:
+            take(layouts, batch_id)
+            common = max(layouts, key=lambda header: len(layouts[header]))
+            append_row(spark, f"{state}/header", HEADER, _csv_line(common))
 
     writer = listing.writeStream.foreachBatch(load).trigger(availableNow=True)
     drain(writer.option("checkpointLocation", f"{state}/{FILES}").start())
 
 
+def _csv_line(cells: Iterable[str]) -> str:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(cells)
+    return out.getvalue()
+
+
+def _widen(
+    spark: SparkSession,
+    layouts: dict[tuple[str, ...], list[str]],
+    fields: dict[str, StructField],
+    schema_path: str,
+    text_share: float,
+) -> None:
+    """Stores wider types for columns whose values in these files need them."""
+    needed: dict[str, str] = {}
+    for header, files in layouts.items():
+        text = spark.read.schema(", ".join(f"`{name}` STRING" for name in header))
+        text = text.options(header="true").csv(files)
+        counts = []
+        for i, name in enumerate(header):
+            value, kind = F.col(f"`{name}`"), fields[name].dataType.simpleString()
+            counts.append(F.count(value).alias(f"n{i}"))
+            for j, other in enumerate([kind, *WIDER.get(kind, ())]):
+                held = value.try_cast(other)
+                if other == "date":
+                    # A cast would take a time as well, and lose it.
+                    held = F.when(F.length(F.trim(value)) <= 10, held)
+                counts.append(F.count(held).alias(f"n{i}_{j}"))
+        found = text.agg(*counts).first()
+        for i, name in enumerate(header):
+            kind, values = fields[name].dataType.simpleString(), found[f"n{i}"]
+            types = [kind, *WIDER.get(kind, ())]
+            held = [found[f"n{i}_{j}"] for j in range(len(types))]
+            # The narrowest type that holds most; text holds all, so it has to win by a large part.
+            best = max(range(len(types) - (types[-1] == "string")), key=lambda j: (held[j], -j), default=0)
+            if types[-1] == "string" and held[best] < text_share * values:
+                best = len(types) - 1
+            if wider(needed.get(name, kind), types[best]):
+                needed[name] = wider(needed.get(name, kind), types[best])
+    if needed:
+        stored = read_schema(spark, schema_path)
+        grown = [widened(f, needed[f.name]) if f.name in needed else f for f in stored]
+        save_schema(spark, schema_path, StructType(grown))
+
+
 def _layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files by header, from one job over the first splits of all files."""
     if not paths:
@@ -231,36 +322,47 @@ def flow_schema(spark: SparkSession, flow: str, path: str, schema: StructType |
     New files follow the stored schema. History has its own types, the same in all its files.
     """
     if flow == FILES and schema:
-        return schema
+        return physical_schema(schema)
     merged = spark.read.option("mergeSchema", flow == FILES).parquet(path).schema
     return StructType([f for f in merged if f.name != "batch"])
 
 
-def _united(parts: list[DataFrame], schema: StructType | None) -> DataFrame:
+def _united(parts: dict[str, DataFrame], schema: StructType | None) -> DataFrame:
     """Flows under one schema: missing columns are NULL, values that do not fit are NULL."""
     if schema is None:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return reduce(DataFrame.unionByName, [part.select(*conform(part.schema, schema)) for part in parts])
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts.values())
+    shown = [
+        part.select(*[F.expr(sql) for sql in conform(flow, part.schema, schema)])
+        for flow, part in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, shown)
 
 
-def conform(have: StructType, want: StructType) -> list[Column]:
-    types = {f.name: f.dataType for f in have}
+def conform(flow: str, have: StructType, want: StructType) -> list[str]:
+    """SQL for the columns of ``want`` from those of a flow's files."""
     columns = []
     for field in want:
-        column = F.col(f"`{field.name}`") if field.name in types else F.lit(None)
-        if types.get(field.name) != field.dataType:
-            column = column.try_cast(field.dataType)
-        columns.append(column.alias(field.name))
+        kind = field.dataType.simpleString()
+        if flow == FILES and stored_as(field) in have.names:
+            same = not earlier(field) and have[field.name].dataType == field.dataType
+            sql = f"`{field.name}`" if same else field_sql(field, want)
+        elif field.name in have.names:
+            same = have[field.name].dataType == field.dataType
+            sql = f"`{field.name}`" if same else f"try_cast(`{field.name}` AS {kind})"
+        else:
+            sql = f"CAST(NULL AS {kind})"
+        columns.append(f"{sql} AS `{field.name}`")
     return columns
 
 
 def read_ingested(spark: SparkSession, target: str, state: str | None = None) -> DataFrame:
     """All flows of an ingested table; with ``state``, under the schema stored there."""
     schema = table_schema(spark, target, state)
-    parts = []
+    parts = {}
     for flow, path in flow_paths(spark, target).items():
         shape = flow_schema(spark, flow, path, schema)
-        parts.append(spark.read.schema(shape).parquet(path).select(*[f"`{n}`" for n in shape.names]))
+        rows = spark.read.schema(shape).parquet(path)
+        parts[flow] = rows.select(*[f"`{n}`" for n in shape.names if n != RESCUED_HEADER or schema])
     return _united(parts, schema)
 
 
@@ -269,11 +371,12 @@ def stream_ingested(
 ) -> DataFrame:
     """All flows of an ingested table as one stream."""
     schema = table_schema(spark, target, state)
-    parts = []
+    parts = {}
     for flow, path in flow_paths(spark, target).items():
         shape = flow_schema(spark, flow, path, schema)
         reader = spark.readStream.schema(shape)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        parts.append(reader.parquet(path).select(*[f"`{n}`" for n in shape.names]))
+        rows = reader.parquet(path)
+        parts[flow] = rows.select(*[f"`{n}`" for n in shape.names if n != RESCUED_HEADER or schema])
     return _united(parts, schema)

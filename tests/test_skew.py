@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -12,6 +13,7 @@ from shopledger.operators.skew import (
     is_hot,
     lookup_join,
     merge_hot,
+    with_greatest_before,
     with_latest,
     with_next,
 )
@@ -115,3 +117,30 @@ def test_dense_rank_over_ranges(spark):
     got = dense_rank_desc(df, "v", "r").collect()
     assert len(got) == 500
     assert all(r.r == order.index(r.v) + 1 for r in got)
+
+
+@pytest.mark.parametrize("hot", [None, {"big": 5, None: 2}])
+def test_greatest_before_equals_brute_force(skewed, hot):
+    got = with_greatest_before(skewed, "k", ["at", "id"], "mark", "top", hot)
+    wanted, top = {}, {}
+    for r in sorted(skewed.collect(), key=lambda r: (r.at, r.id)):
+        wanted[r.id] = top.get(r.k)
+        if r.mark is not None:
+            top[r.k] = max(r.mark, top.get(r.k, r.mark))
+    assert {r.id: r.top for r in got.collect()} == wanted
+
+
+def test_many_hot_keys_are_a_table(spark, rows_of):
+    """Their number shows neither in the plan nor in the time it takes to make one."""
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("k"), F.col("id") % 25_000).alias("k"), F.col("id").alias("at"), "id"
+    )
+    hot = {f"k{i}": 2 for i in range(20_000)} | {None: 3}
+    lookup = rows.filter("id < 25000").select("k", F.col("id").alias("label"))
+    started = time.monotonic()
+    joined = lookup_join(rows, lookup, "k", hot)
+    chained = with_next(rows, "k", ["at"], ["id"], "after", {k: 1 for k in list(hot)[:1500]})
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert time.monotonic() - started < 20 and len(plan) < 20_000
+    assert rows_of(joined) == rows_of(lookup_join(rows, lookup, "k"))
+    assert rows_of(chained) == rows_of(with_next(rows, "k", ["at"], ["id"], "after"))

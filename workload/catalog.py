@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from shopledger.functions import business as rule
 from shopledger.operators.asof import Changes, asof_join
 from shopledger.operators.expectations import apply_expectations, violation_report
 from shopledger.operators.history import (
-    DELETED,
     END,
     SEQUENCE,
     START,
+    covered,
     current,
     current_from_changes,
     keep_latest,
@@ -23,11 +24,13 @@ from shopledger.operators.history import (
     versions,
 )
 from shopledger.operators.skew import hot_keys
-from shopledger.plans import checks, facts, marts, rules
+from shopledger.plans import checks, facts, maintained, marts, rules
+from shopledger.plans.gates import GateClosed, publish_table
+from shopledger.plans.pipeline import Pipeline
 from shopledger.plans.stage import stage_customers, stage_orders, stage_products
 from shopledger.session import scratch_path
 from shopledger.sources.files import LINEAGE, csv_options, file_schema, write_csv
-from shopledger.sources.tables import register_view
+from shopledger.sources.tables import read_table, register_view
 from shopledger.streaming.ingest import (
     append_stream,
     backfill,
@@ -37,14 +40,17 @@ from shopledger.streaming.ingest import (
     read_ingested,
 )
 from shopledger.streaming.versioned import (
-    contract_columns,
+    Changed,
+    fold_versions,
+    gather_log,
     log_changes,
     read_versions,
     rebuild_versions,
     refresh_versions,
+    versions_query,
 )
 from workload import feeds
-from workload.oracle import AS_OF, SHIFT
+from workload.oracle import AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,11 +101,6 @@ def spans(df: DataFrame) -> DataFrame:
     )
 
 
-def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    shift = F.lit(SHIFT)
-    return df.withColumns({name: F.round(F.col(name) + shift, n) for name, n in digits.items()})
-
-
 # ---- staged rows, versions, facts ---------------------------------------------------------------
 
 
@@ -187,8 +188,8 @@ def product_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_in_time(spark: SparkSession, sf_dir: str, event_time_only: bool = False) -> DataFrame:
     return facts.pit_fact(
         current_orders(spark, sf_dir),
-        Changes(changed_customers(spark, sf_dir), ties=CUSTOMER_TIES),
-        Changes(staged_products(spark, sf_dir), IS_DELETE, PRODUCT_TIES),
+        customer_versions(spark, sf_dir),
+        product_versions(spark, sf_dir),
         AS_OF,
         feeds.hot_pit(spark, sf_dir),
         event_time_only,
@@ -292,12 +293,26 @@ def dedup_orders_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_scd2_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = overlaps(
+    found = covered(
         customer_versions(spark, sf_dir), "customer_id", feeds.hot_customers(spark, sf_dir)
     )
     return found.groupBy("customer_id").agg(F.count("*").alias("overlaps"))
 
 
+@query
+def check_overlap_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On versions of which some end a year late, so that they span several later ones."""
+    later = F.struct(
+        (F.col(f"{END}._event_ts") + F.expr("INTERVAL 400 DAYS")).alias("_event_ts"),
+        *[F.col(f"{END}.{name}").alias(name) for name in SEQUENCE[1:]],
+    )
+    doctored = customer_versions(spark, sf_dir)
+    late = (F.col("tier") == "BUILDING") & F.col(END).isNotNull()
+    doctored = doctored.withColumn(END, F.when(late, later).otherwise(F.col(END)))
+    found = covered(doctored, "customer_id", feeds.hot_customers(spark, sf_dir))
+    return found.groupBy("customer_id").agg(F.count("*").alias("overlaps"))
+
+
 @query
 def scd2_customers_by_signup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sign-up date as event time, so that the ingest time decides between a customer's changes."""
@@ -365,6 +380,17 @@ def pit_join_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(point_in_time(spark, sf_dir, event_time_only=True).drop("_gold_load_ts"))
 
 
+@query
+def pit_join_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes in place of the versions they make, for where no version table is stored."""
+    taken = {"product_sk": "product_sk", "unit_price": "catalog_unit_price"}
+    hot = feeds.hot_pit(spark, sf_dir)["product_id"]
+    lines = current_orders(spark, sf_dir).select("order_sk", "product_id", *SEQUENCE)
+    changes = Changes(staged_products(spark, sf_dir), IS_DELETE, PRODUCT_TIES)
+    joined = asof_join(lines, changes, "product_id", taken, hot=hot)
+    return joined.select("order_sk", "product_sk", "catalog_unit_price")
+
+
 @query
 def pit_join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = {"customer_sk": "customer_sk", "tier": "tier"}
@@ -425,7 +451,7 @@ def check_freshness_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pit_revenue_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(marts.revenue_by(point_in_time(spark, sf_dir), "tier", "category"), revenue=2)
+    return marts.revenue_by(point_in_time(spark, sf_dir), "tier", "category", exact=True)
 
 
 @query
@@ -455,14 +481,14 @@ def check_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.daily_revenue(customer_fact(spark, sf_dir), unique_orders=True, digits=2)
-    return plain(rounded(mart, avg_order_value=4))
+    mart = marts.daily_revenue(customer_fact(spark, sf_dir), unique_orders=True, exact=True)
+    return plain(mart)
 
 
 @query
 def agg_customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = marts.customer_metrics(customer_fact(spark, sf_dir), digits=2)
-    return plain(rounded(metrics, avg_order_value=4))
+    metrics = marts.customer_metrics(customer_fact(spark, sf_dir), exact=True)
+    return plain(metrics)
 
 
 @query
@@ -472,21 +498,58 @@ def mart_customer_360(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer_fact(spark, sf_dir),
         AS_OF,
         unique_orders=True,
-        digits=2,
+        exact=True,
     )
-    return plain(rounded(mart, avg_order_value=4))
+    return plain(mart)
 
 
 @query
 def mart_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.top_products(product_fact(spark, sf_dir), unique_orders=True, digits=2)
-    return rounded(mart, avg_selling_price=4, avg_catalog_price=4)
+    mart = marts.top_products(product_fact(spark, sf_dir), unique_orders=True, exact=True)
+    return mart
 
 
 @query
 def mart_executive_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.executive_kpis(product_fact(spark, sf_dir), AS_OF, unique_orders=True, digits=2)
-    return plain(rounded(mart, avg_order_value=4))
+    mart = marts.executive_kpis(product_fact(spark, sf_dir), AS_OF, unique_orders=True, exact=True)
+    return plain(mart)
+
+
+@query
+def published_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published behind its gate; a later content with taken-back totals is turned away."""
+    path = scratch_path(spark, "published")
+    gate = rules.daily_revenue_gate()
+    fact = customer_fact(spark, sf_dir)
+    mart = marts.daily_revenue(fact, unique_orders=True, exact=True)
+    table = publish_table(mart, path, "daily_revenue", gate)
+    # A first look at the table does not hold it: the folders change in turn.
+    bad = table.withColumn("daily_revenue", -F.col("daily_revenue"))
+    try:
+        publish_table(bad, path, "daily_revenue", gate)
+    except GateClosed as closed:
+        assert closed.broken == ["non_negative"]
+    else:
+        raise AssertionError("the gate was open")
+    return plain(read_table(spark, path))
+
+
+@query
+def mart_daily_revenue_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept up to date from changes: first values are taken back by corrections, some come late."""
+    path = scratch_path(spark, "maintained")
+    orders = staged_orders(spark, sf_dir)
+    before = {"_ingest_ts": F.col("_ingest_ts") - F.expr("INTERVAL 1 DAY"),
+              "quantity": F.col("quantity") + 1, "total_amount": F.col("total_amount") + F.col("unit_price")}
+    early = F.col("order_year") < 1997
+    first = orders.withColumns(before)
+    drops = [first.filter(early), orders, first.filter(~early)]
+    changed = maintained.DAILY_REVENUE.record(path)
+    for i in range(len(drops)):
+        _versions_by_drops(spark, drops[i : i + 1], "", "order_id", base=f"{path}/orders", changed=changed)
+        if i == 1:
+            maintained.DAILY_REVENUE.fold(spark, path)
+    return plain(maintained.daily_revenue(spark, path))
 
 
 # ---- data quality -------------------------------------------------------------------------------
@@ -519,23 +582,32 @@ def dq_fail_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts' inputs are made once and stored, as the pipeline does."""
+    base = scratch_path(spark, "dq_report")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    orders = stored("orders", current_orders(spark, sf_dir))
+    customers = stored("customers", customer_versions(spark, sf_dir))
+    fact = facts.order_customer_fact(
+        orders, current(customers), AS_OF, feeds.hot_dimensions(spark, sf_dir)
+    )
+    pit = facts.pit_fact(
+        orders, customers, product_versions(spark, sf_dir), AS_OF, feeds.hot_pit(spark, sf_dir)
+    )
     inputs = {
         "orders": (staged_orders(spark, sf_dir), rules.ORDERS),
         "customers": (staged_customers(spark, sf_dir), rules.CUSTOMERS),
-        "daily_revenue": (
-            marts.daily_revenue(customer_fact(spark, sf_dir), unique_orders=True),
-            rules.DAILY_REVENUE,
-        ),
-        "pit_fact": (point_in_time(spark, sf_dir), rules.PIT_FACT),
+        "daily_revenue": (marts.daily_revenue(fact, unique_orders=True), rules.DAILY_REVENUE),
+        "pit_fact": (pit, rules.PIT_FACT),
     }
     reports = [
         violation_report(df, rule_set).withColumn("table_name", F.lit(name))
         for name, (df, rule_set) in inputs.items()
     ]
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query
@@ -694,17 +766,25 @@ def stream_stage_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versions_by_drops(
-    spark: SparkSession, drops: list[DataFrame], label: str, key: str, delete: str | None = None
+    spark: SparkSession,
+    drops: list[DataFrame],
+    label: str,
+    key: str,
+    delete: str | None = None,
+    base: str | None = None,
+    changed: Changed | None = None,
 ) -> tuple[str, DataFrame]:
     """Change drops landing one after the other, each followed by an incremental run."""
-    base = scratch_path(spark, label)
+    base = base or scratch_path(spark, label)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for drop in drops:
         drop.write.mode("append").parquet(f"{base}/landing")
         stream = spark.readStream.schema(drop.schema).parquet(f"{base}/landing")
         log_changes(stream, f"{base}/log", f"{base}/state/log", key, buckets)
-        refresh_versions(spark, f"{base}/log", f"{base}/table", f"{base}/state/table", key, delete)
-    return base, read_versions(spark, f"{base}/table")
+        refresh_versions(
+            spark, f"{base}/log", f"{base}/table", f"{base}/state/table", key, delete, changed=changed
+        )
+    return base, read_versions(spark, f"{base}/table", key=key)
 
 
 def _shuffled(changes: DataFrame, drops: int) -> list[DataFrame]:
@@ -726,6 +806,37 @@ def stream_scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans(_versions_by_drops(spark, drops, "deletes", "user_id", delete)[1])
 
 
+@query
+def stream_scd2_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops in no order of time; the log is gathered and superseded versions folded in between."""
+    drops = _shuffled(feeds.event_changes(spark, sf_dir), 3)
+    base = scratch_path(spark, "upkeep")
+    for drop in drops:
+        _versions_by_drops(spark, [drop], "", "user_id", base=base)
+        gather_log(spark, f"{base}/log")
+        fold_versions(spark, f"{base}/table", "user_id")
+    return spans(read_versions(spark, f"{base}/table"))
+
+
+@query
+def flows_with_one_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three flows of which one has no folder to read: the other two take all their rows."""
+    base = scratch_path(spark, "flows")
+    write_csv(feeds.order_feed(spark, sf_dir).drop(*LINEAGE), f"{base}/landing/orders")
+    write_csv(feeds.product_feed(spark, sf_dir).drop(*LINEAGE), f"{base}/landing/products")
+    try:
+        Pipeline(spark, f"{base}/landing", f"{base}/tables").ingest()
+    except RuntimeError as failed:
+        assert "customers" in str(failed)
+    else:
+        raise AssertionError("the flow without a folder did not fail")
+    orders = read_ingested(spark, f"{base}/tables/bronze/bronze_order")
+    products = read_ingested(spark, f"{base}/tables/bronze/bronze_product")
+    ids = orders.select(F.lit("orders").alias("flow"), F.col("order_id").alias("id"))
+    more = products.select(F.lit("products").alias("flow"), F.col("product_id").alias("id"))
+    return ids.unionByName(more).groupBy("flow", "id").agg(F.count("*").alias("rows"))
+
+
 @query
 def scd2_late_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recent changes arrive first, older ones after them."""
@@ -751,10 +862,10 @@ def stored_current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("_event_ts")
     drops = [changes.filter(year < 1997), changes.filter(year == 1997), changes.filter(year > 1997)]
     base, _ = _versions_by_drops(spark, drops, "stored", "product_id", IS_DELETE)
-    shown = contract_columns(spark, f"{base}/table")
-    stored = f"SELECT {', '.join(shown)} FROM parquet.`{base}/table` WHERE NOT {DELETED}"
-    register_view(spark, "silver.stored_products", stored, "Versions per product")
-    now = spark.sql(f"SELECT * FROM silver.stored_products WHERE {END} IS NULL")
+    # A name of its own, so that two runs in one catalog do not overwrite each other's view.
+    name = f"silver.stored_products_{base.rsplit('-', 1)[-1]}"
+    register_view(spark, name, versions_query(spark, f"{base}/table"), "Versions per product")
+    now = spark.sql(f"SELECT * FROM {name} WHERE {END} IS NULL")
     return plain(now.select(*[c for c in now.columns if not c.startswith("_")]))
 
 

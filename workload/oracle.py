@@ -8,9 +8,7 @@ from workload.feeds import PRODUCT_LAG_DAYS
 
 AS_OF = "2002-01-01 00:00:00"
 
-# Aggregated doubles are compared at cents and ten-thousandths. The shift moves exact halves off the
-# rounding border, where the order of addition would decide.
-SHIFT = 0.000000337
+# Amounts are added as whole numbers of ten-thousandths: the order of adding does not matter.
 
 
 def _title(column: str) -> str:
@@ -30,12 +28,16 @@ def _day(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d')"
 
 
-def _cents(expression: str) -> str:
-    return f"round({expression} + {SHIFT:.9f}, 2)"
+def _units(column: str) -> str:
+    return f"cast(sum(cast(round({column} * 10000) as bigint)) as double)"
 
 
-def _mean(expression: str) -> str:
-    return f"round({expression} + {SHIFT:.9f}, 4)"
+def _total(column: str) -> str:
+    return f"{_units(column)} / 10000"
+
+
+def _mean(column: str) -> str:
+    return f"{_units(column)} / count({column}) / 10000"
 
 
 _SEQ = ["_event_ts", "_ingest_ts", "_file_mod_time", "_source_file"]
@@ -194,8 +196,8 @@ select o.order_sk, c.customer_sk, p.product_sk, o.order_id, o.customer_id, o.pro
 from cur_orders o left join cur_customers c on o.customer_id = c.customer_id
   left join cur_products p on o.product_id = p.product_id""",
     "metrics": f"""
-select customer_id, count(distinct order_id) as total_orders, round(sum(total_amount), 2) as lifetime_value,
-  {_mean('avg(total_amount)')} as avg_order_value, min(order_date) as first_order_date,
+select customer_id, count(distinct order_id) as total_orders, {_total('total_amount')} as lifetime_value,
+  {_mean('total_amount')} as avg_order_value, min(order_date) as first_order_date,
   max(order_date) as last_order_date, count(*) filter (where is_high_value_order) as high_value_order_count
 from fact_oc where order_status = 'completed' group by customer_id""",
     "pit": _PIT_SELECT.format(
@@ -205,8 +207,8 @@ from fact_oc where order_status = 'completed' group by customer_id""",
         customer=_valid_event("c", "o"), product=_valid_event("p", "o"), revenue=_REVENUE
     ),
     "daily": f"""
-select order_date, shipping_city, payment_method, round(sum(total_amount), 2) as daily_revenue,
-  count(distinct order_id) as order_count, {_mean('avg(total_amount)')} as avg_order_value,
+select order_date, shipping_city, payment_method, {_total('total_amount')} as daily_revenue,
+  count(distinct order_id) as order_count, {_mean('total_amount')} as avg_order_value,
   cast(sum(quantity) as bigint) as total_items_sold
 from fact_oc where {_REVENUE} group by order_date, shipping_city, payment_method""",
     "ch_events": f"""
@@ -291,6 +293,17 @@ _RULES_PRODUCTS = [
     (_WARN, "non_negative_stock", "stock_quantity >= 0"),
 ]
 
+
+
+def _covered(source: str) -> str:
+    """How many versions of each customer start before an earlier one has ended."""
+    starts = [", ".join(f"{side}.{c}" for c in _SEQ) for side in "ab"]
+    ends = ", ".join(f"a._end{i}" for i in range(1, 5))
+    return f"""select b.customer_id, count(distinct b.customer_sk || b._source_file) as overlaps
+  from ({source}) a join ({source}) b on a.customer_id = b.customer_id and ({starts[0]}) < ({starts[1]})
+    and (a._end4 is null or ({ends}) > ({starts[1]})) group by b.customer_id"""
+
+
 _PIT_OUT = f"""* replace ({_day('order_date')} as order_date, {_ts('order_event_ts')} as order_event_ts,
   {_day('signup_date')} as signup_date)"""
 _RAW_ORDERS = (
@@ -315,11 +328,9 @@ BODIES: dict[str, str] = {
   select *, row_number() over (partition by order_id, _event_ts
     order by _ingest_ts desc, _file_mod_time desc, _source_file desc) as _record_number from st_orders)
   where _record_number = 1""",
-    "check_scd2_overlap": """select a.customer_id, count(*) as overlaps from ver_customers a
-  join ver_customers b on a.customer_id = b.customer_id and a._source_file <> b._source_file
-    and (a._event_ts, a._source_file) < (b._event_ts, b._source_file)
-    and (a._end4 is null or (a._end1, a._end4) > (b._event_ts, b._source_file))
-  group by a.customer_id""",
+    "check_scd2_overlap": _covered("select * from ver_customers"),
+    "check_overlap_nested": _covered("""select * replace (
+    case when tier = 'BUILDING' then _end1 + interval 400 day else _end1 end as _end1) from ver_customers"""),
     "fact_order_customer": f"""select * replace ({_day('order_date')} as order_date,
   {_day('signup_date')} as signup_date) from fact_oc""",
     "fact_order_customer_product": f"select * replace ({_day('order_date')} as order_date) from fact_ocp",
@@ -337,9 +348,11 @@ BODIES: dict[str, str] = {
     "pit_join_customer": f"""select o.order_sk, c.customer_sk, c.tier from cur_orders o
   left join ver_customers c on o.customer_id = c.customer_id and {_valid('c', 'o')}""",
     "pit_join_product": f"""select o.order_sk, p.product_sk, p.unit_price as catalog_unit_price
+  from cur_orders o left join ver_products p on o.product_id = p.product_id and {_valid('p', 'o')}""",
+    "pit_join_from_changes": f"""select o.order_sk, p.product_sk, p.unit_price as catalog_unit_price
   from cur_orders o left join ver_products p on o.product_id = p.product_id and {_valid('p', 'o')}""",
     "pit_revenue_by_tier": f"""select tier, category, count(*) as order_lines,
-  {_cents('sum(line_amount)')} as revenue, cast(sum(quantity) as bigint) as quantity
+  {_total('line_amount')} as revenue, cast(sum(quantity) as bigint) as quantity
   from pit group by tier, category""",
     "check_pit_unique": """select order_id, customer_id, product_id, count(*) as cnt from pit
   group by order_id, customer_id, product_id having count(*) > 1""",
@@ -352,12 +365,18 @@ BODIES: dict[str, str] = {
     "check_freshness": f"""select case when count(*) > 0 then '{AS_OF}.000000' end as newest_load_ts,
   count(*) > 0 as is_fresh from pit""",
     "mart_daily_revenue": f"select * replace ({_day('order_date')} as order_date) from daily",
+    "published_daily_revenue": f"select * replace ({_day('order_date')} as order_date) from daily",
+    "mart_daily_revenue_maintained": f"""select {_day('order_date')} as order_date, shipping_city,
+  payment_method, cast(sum(cast(round(total_amount * 10000) as bigint)) as double) / 10000 as daily_revenue,
+  count(*) as order_count, cast(sum(cast(round(total_amount * 10000) as bigint)) as double) / 10000
+    / count(total_amount) as avg_order_value, cast(sum(quantity) as bigint) as total_items_sold
+  from cur_orders where {_REVENUE} group by all""",
     "agg_customer_metrics": f"""select * replace ({_day('first_order_date')} as first_order_date,
   {_day('last_order_date')} as last_order_date) from metrics""",
     "mart_customer_360": f"""select c.customer_id, c.customer_sk, c.customer_name, c.email,
   {_day('c.signup_date')} as signup_date, c.tier, c.city, c.is_active,
   coalesce(total_orders, 0) as total_orders, coalesce(lifetime_value, 0.0) as lifetime_value,
-  coalesce(avg_order_value, {_mean('0.0')}) as avg_order_value,
+  coalesce(avg_order_value, 0.0) as avg_order_value,
   {_day('first_order_date')} as first_order_date, {_day('last_order_date')} as last_order_date,
   coalesce(high_value_order_count, 0) as high_value_order_count,
   cast(date_diff('day', last_order_date, date '{AS_OF[:10]}') as integer) as days_since_last_order,
@@ -367,13 +386,13 @@ BODIES: dict[str, str] = {
     "mart_top_products": f"""select *, cast(dense_rank() over (order by total_revenue desc nulls last)
     as integer) as revenue_rank
   from (select product_id, product_name, category, brand, count(distinct order_id) as total_orders,
-    round(sum(line_amount), 2) as total_revenue, cast(sum(quantity) as bigint) as total_quantity,
-    {_mean('avg(order_unit_price)')} as avg_selling_price,
-    {_mean('avg(product_unit_price)')} as avg_catalog_price,
+    {_total('line_amount')} as total_revenue, cast(sum(quantity) as bigint) as total_quantity,
+    {_mean('order_unit_price')} as avg_selling_price,
+    {_mean('product_unit_price')} as avg_catalog_price,
     count(distinct customer_id) as unique_buyers, max(stock_quantity) as latest_stock_quantity
     from fact_ocp where {_REVENUE} group by product_id, product_name, category, brand)""",
     "mart_executive_kpis": f"""select count(distinct order_id) as orders_count,
-  round(sum(line_amount), 2) as gross_revenue, {_mean('avg(line_amount)')} as avg_order_value,
+  {_total('line_amount')} as gross_revenue, {_mean('line_amount')} as avg_order_value,
   count(distinct customer_id) as active_customers, count(distinct product_id) as active_products,
   count(*) filter (where product_stock_status = 'OUT_OF_STOCK') as out_of_stock_order_lines,
   '{AS_OF}.000000' as kpi_computed_at from fact_ocp where {_REVENUE}""",
@@ -441,6 +460,10 @@ BODIES: dict[str, str] = {
   {_ts('cdc_timestamp')} as cdc_timestamp, _source_file as feed_position from feed_products""",
     "stream_stage_orders": f"select {_ORDER_COLUMNS}, {_AUDIT} from st_orders",
     "stream_scd2_upsert": f"select {_EVENT_COLUMNS} from ({_versions('ch_events', 'user_id')})",
+    "stream_scd2_upkeep": f"select {_EVENT_COLUMNS} from ({_versions('ch_events', 'user_id')})",
+    "flows_with_one_failing": """select 'orders' as flow, order_id as id, count(*) as rows
+  from feed_orders group by all union all
+  select 'products' as flow, product_id as id, count(*) as rows from feed_products group by all""",
     "stream_scd2_deletes": "select {} from ({})".format(
         _EVENT_COLUMNS, _versions("ch_events", "user_id", "event_type = 'error'")
     ),
