@@ -9,9 +9,10 @@ or in several, recurs, and its words are removed wherever it stands.
 2. Windows whose anchor recurs are counted by their own hash, once per block with their number there.
    What stands at two places or more is confirmed, and each block is told which of its windows are.
 3. A block's maximal runs of confirmed windows are its recurring passages. They are compiled into
-   the block's automaton over word numbers, and all documents of the block stream through it: every
-   occurrence of a passage is located and its words leave. Automata are sharded along the documents,
-   so a document passes one automaton, and each is bounded by its block.
+   the block's automaton over word numbers, and the block's documents stream through it: every
+   occurrence of a passage is located and its words leave. A document without a confirmed window
+   can hold no passage and stays as it is. Automata are sharded along the documents, so a document
+   passes one automaton, and each is bounded by its block.
 
 A window or an anchor has one row per block that holds it, however often it stands there, so a very
 common passage makes at most as many rows as there are blocks. Windows are told apart by 64-bit hashes.
@@ -234,21 +235,21 @@ def located(blocks: DataFrame, confirmed: DataFrame, window: int) -> DataFrame:
         known, hashes = _found(right), WordHashes()
         rows: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "text": []}
         numbers: dict[bytes, int] = {}
-        docs, texts, marks = [], [], []
-        for doc_id, text in _unpacked(left):
+        docs, texts, marks = [], {}, []
+        for at, (doc_id, text) in enumerate(_unpacked(left)):
             words = words_of(text)
             docs.append((doc_id, words))
-            if len(known):
-                texts.append([numbers.setdefault(w, len(numbers)) for w in words])
-                marks.append(_among(grams(_hashed(words, hashes), window), known))
-        phrases = passages(texts, marks, window)
-        machine = automaton(phrases) if phrases else None
+            if len(known) and len(words) >= window:
+                confirmed_here = _among(grams(_hashed(words, hashes), window), known)
+                if confirmed_here.any():
+                    texts[at] = [numbers.setdefault(w, len(numbers)) for w in words]
+                    marks.append(confirmed_here)
+        machine = automaton(passages(list(texts.values()), marks, window)) if texts else None
         for at, (doc_id, words) in enumerate(docs):
             kept = words
-            if machine is not None:
+            if at in texts:
                 gone = covered(texts[at], machine)
-                if gone.any():
-                    kept = [w for w, lost in zip(words, gone.tolist()) if not lost]
+                kept = [w for w, lost in zip(words, gone.tolist()) if not lost]
             rows["doc_id"].append(doc_id)
             rows["n_words"].append(len(words))
             rows["n_removed"].append(len(words) - len(kept))
