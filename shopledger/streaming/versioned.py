@@ -58,27 +58,32 @@ def log_changes(
     checkpoint: str,
     key: str,
     buckets: int,
-    hot: Collection[Any] = (),
+    hot: Collection[Any] | None = (),
 ) -> StreamingQuery:
-    """Appends the new rows of a staged stream to the change log.
+    """Appends the new rows of a staged stream to the change log, a folder per run.
 
     Rows of a bucket are gathered to keep files large. Each bucket gets its share of the shuffle
-    partitions as writers; rows without a key and rows of ``hot`` keys get all of them. Writers are
-    told apart by input partition, so that copies of one row spread too, and a repeated task has the
-    same input partition.
+    partitions as writers; rows without a key and rows of ``hot`` keys get all of them. With None
+    the hot keys are those of the new rows, which are then stored once before they are counted, so
+    that nothing they observe is counted twice. Writers are told apart by input partition, so that
+    copies of one row spread too, and a repeated task has the same input partition.
     """
     partitions = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    wide = marked(staged, key, dict.fromkeys({None, *hot}, 2))
-    spread = F.when(F.col("_spread") > 0, partitions).otherwise(max(partitions // buckets, 1))
-    part = F.pmod(F.spark_partition_id(), spread)
-    rows = wide.withColumns({BUCKET: bucket, "_part": part}).drop("_spread")
-    gathered = rows.repartition(BUCKET, "_part").drop("_part")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{log}/{RUN}={batch_id}")
-
-    writer = gathered.writeStream.foreachBatch(write).trigger(availableNow=True)
+        if hot is None:
+            batch = materialize(batch)
+        known = hot_keys(batch, key) if hot is None else hot
+        wide = marked(batch, key, dict.fromkeys({None, *known}, 2))
+        spread = F.when(F.col("_spread") > 0, partitions).otherwise(max(partitions // buckets, 1))
+        part = F.pmod(F.spark_partition_id(), spread)
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        rows = wide.withColumns({BUCKET: bucket, "_part": part}).drop("_spread")
+        gathered = rows.repartition(BUCKET, "_part").drop("_part")
+        target = f"{log}/{RUN}={batch_id}"
+        gathered.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+
+    writer = staged.writeStream.foreachBatch(write).trigger(availableNow=True)
     return drain(writer.option("checkpointLocation", checkpoint).start())
 
 
