@@ -39,7 +39,7 @@ from shopledger.llm.near_dedup import WordHashes, mixed
 
 WINDOW = 35
 ANCHOR = 12
-PACK_BYTES = 4_000_000
+PACK_BYTES = 2_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _PACKED = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
