@@ -39,8 +39,13 @@ def latest_row(spark: SparkSession, path: str, columns: str) -> Row | None:
 
 def append_row(spark: SparkSession, path: str, columns: str, value: object) -> None:
     latest = latest_row(spark, path, columns)
-    row = (latest.version + 1 if latest else 0, value)
-    spark.createDataFrame([row], columns).coalesce(1).write.mode("append").json(path)
+    put_row(spark, path, columns, latest.version + 1 if latest else 0, value)
+
+
+def put_row(spark: SparkSession, path: str, columns: str, version: int, value: object) -> None:
+    """``append_row`` for a caller that knows the next version."""
+    row = spark.createDataFrame([(version, value)], columns)
+    row.coalesce(1).write.mode("append").json(path)
 
 
 def file_schema(spark: SparkSession, source: str, infer: bool) -> StructType:

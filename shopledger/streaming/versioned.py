@@ -35,7 +35,7 @@ from shopledger.operators.history import (
 )
 from shopledger.operators.skew import GROUP_ROWS, hot_keys, marked
 from shopledger.session import materialize
-from shopledger.sources.files import append_row, latest_row
+from shopledger.sources.files import append_row, latest_row, put_row
 from shopledger.sources.tables import append_partitions, remove_partitions, replace_partitions
 from shopledger.streaming.ingest import drain
 
@@ -260,10 +260,10 @@ def refresh_versions(
     schema = read_log(spark, log).schema
     begun = f"{checkpoint}-begun"
 
-    def taken(batch: DataFrame) -> None:
+    def taken(batch: DataFrame, attempt: int) -> None:
         run = batch.agg(F.max(RUN)).first()[0]
         if run is not None:
-            append_row(spark, _taken_path(log), TAKEN, run)
+            put_row(spark, _taken_path(log), TAKEN, attempt, run)
 
     def tell(before: DataFrame | None, keys: DataFrame, batch_id: int) -> None:
         if changed is not None:
@@ -275,9 +275,10 @@ def refresh_versions(
     def refresh(batch: DataFrame, batch_id: int) -> None:
         latest = latest_row(spark, begun, BEGUN)
         repeated = latest is not None and latest.batch >= batch_id
-        append_row(spark, begun, BEGUN, batch_id)
+        attempt = latest.version + 1 if latest else 0
+        put_row(spark, begun, BEGUN, attempt, batch_id)
         # Two numbers per attempt: what a late key gets supersedes what the run wrote before.
-        generation = _generation(spark, table, key, 2 * (latest.version + 1 if latest else 0), schema)
+        generation = _generation(spark, table, key, 2 * attempt, schema)
         whole, batch = batch, batch.filter(F.col(key).isNotNull())
         touched = _buckets(batch)
         stored = _stored(spark, table, schema, key, delete)
@@ -293,7 +294,7 @@ def refresh_versions(
                 changes = changes.filter(F.col(BUCKET).isin(touched))
             _rebuild(changes, table, key, delete, generation, group_rows)
             _note(batch.limit(0), table, key, generation)
-            taken(whole)
+            taken(whole, attempt)
             tell(before, keys, batch_id)
             return
         held = _valid(spark, stored.filter(F.col(BUCKET).isin(touched)), table, key)
@@ -326,7 +327,7 @@ def refresh_versions(
             rows = _placed(built, generation + 1)
             append_partitions(rows, table, [BUCKET, OPEN], [key, START])
             _note(late, table, key, generation + 1)
-        taken(whole)
+        taken(whole, attempt)
         tell(before, keys, batch_id)
 
     stream = stream_log(spark, log)
