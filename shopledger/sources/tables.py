@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
+from shopledger.session import COMPRESSION, freeing
 from shopledger.sources.files import append_row, latest_row
 
 
@@ -57,7 +58,7 @@ def _clustered(
     Sorted files keep the ranges of their row groups narrow.
     """
     gathered = df.hint("rebalance", *partition).sortWithinPartitions(*partition, *sort_by)
-    return gathered.write.partitionBy(*partition)
+    return gathered.write.option("compression", COMPRESSION).partitionBy(*partition)
 
 
 def replace_partitions(
@@ -65,13 +66,15 @@ def replace_partitions(
 ) -> None:
     """Replaces only the partitions that occur in ``df``."""
     writer = _clustered(df, partition, sort_by).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    with freeing(df.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_partitions(
     df: DataFrame, path: str, partition: Sequence[str], sort_by: Sequence[str | Column]
 ) -> None:
-    _clustered(df, partition, sort_by).mode("append").parquet(path)
+    with freeing(df.sparkSession):
+        _clustered(df, partition, sort_by).mode("append").parquet(path)
 
 
 def remove_partitions(spark: SparkSession, path: str, column: str, upto: int) -> None:

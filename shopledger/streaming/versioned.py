@@ -15,12 +15,13 @@ change arriving later cannot revive a deleted key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Sequence
+from contextlib import ExitStack
 from datetime import datetime
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -34,7 +35,7 @@ from shopledger.operators.history import (
     version_all,
 )
 from shopledger.operators.skew import GROUP_ROWS, hot_keys, marked
-from shopledger.session import materialize
+from shopledger.session import COMPRESSION, freeing, materialize, stored_once
 from shopledger.sources.files import append_row, latest_row, put_row
 from shopledger.sources.tables import append_partitions, remove_partitions, replace_partitions
 from shopledger.streaming.ingest import drain
@@ -48,6 +49,7 @@ BEGUN = "version long, batch long"
 RUN = "_run"
 # Current rows before and after a batch, and its number.
 Changed = Callable[[DataFrame, DataFrame, int], None]
+Ties = Sequence[str | Column]
 TAKEN = "version long, run long"
 GATHERED = "version long, run long"
 
@@ -81,10 +83,12 @@ def log_changes(
         rows = wide.withColumns({BUCKET: bucket, "_part": part}).drop("_spread")
         gathered = rows.repartition(BUCKET, "_part").drop("_part")
         target = f"{log}/{RUN}={batch_id}"
-        gathered.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        kept = gathered.write.option("compression", COMPRESSION).mode("overwrite")
+        kept.partitionBy(BUCKET).parquet(target)
 
     writer = staged.writeStream.foreachBatch(write).trigger(availableNow=True)
-    return drain(writer.option("checkpointLocation", checkpoint).start())
+    with freeing(staged.sparkSession):
+        return drain(writer.option("checkpointLocation", checkpoint).start())
 
 
 def _gathered_path(log: str) -> str:
@@ -147,7 +151,10 @@ def gather_log(spark: SparkSession, log: str) -> None:
         runs = spark.read.schema(schema).parquet(log)
         rows = runs.filter((F.col(RUN) > start) & (F.col(RUN) <= latest.run)).drop(RUN)
         target = f"{_gathered_path(log)}/upto={latest.run}"
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        rows = rows.hint("rebalance", BUCKET)
+        writer = rows.write.option("compression", COMPRESSION).mode("overwrite")
+        with freeing(spark):
+            writer.partitionBy(BUCKET).parquet(target)
         append_row(spark, f"{_gathered_path(log)}_done", GATHERED, latest.run)
     remove_partitions(spark, log, RUN, latest.run)
 
@@ -164,9 +171,12 @@ def _rebuild(
     delete: str | None,
     generation: int,
     group_rows: int = GROUP_ROWS,
+    ties: Ties | None = None,
 ) -> None:
-    built = version_all(changes, key, delete, hot_keys(changes, key, group_rows))
-    replace_partitions(_placed(built, generation), table, [BUCKET, OPEN], [key, START])
+    built = version_all(changes, key, delete, hot_keys(changes, key, group_rows), ties)
+    # Stored in between, so that the shuffle by key is gone when that by bucket begins.
+    with stored_once(_placed(built, generation)) as rows:
+        replace_partitions(rows, table, [BUCKET, OPEN], [key, START])
 
 
 def _rewritten_path(table: str) -> str:
@@ -248,9 +258,12 @@ def refresh_versions(
     delete: str | None = None,
     group_rows: int = GROUP_ROWS,
     changed: Changed | None = None,
+    ties: Ties | None = None,
 ) -> None:
     """Takes the changes logged since the last refresh into the version table.
 
+    ``ties`` is what decides between changes of equal key and sequence, see ``version_all``.
+
     A batch is noted before the table is touched. One that had begun before and is repeated may have
     left half of its work, so its buckets are rebuilt from the log, which gives the same table.
 
@@ -273,6 +286,11 @@ def refresh_versions(
             changed(now.limit(0) if before is None else before.select(*names), now, batch_id)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
+        # Every run inside gives its disk back; what several of them use is stored until the end.
+        with freeing(batch.sparkSession), ExitStack() as until:
+            take(batch, batch_id, lambda rows: until.enter_context(stored_once(rows)))
+
+    def take(batch: DataFrame, batch_id: int, once: Callable[[DataFrame], DataFrame]) -> None:
         latest = latest_row(spark, begun, BEGUN)
         repeated = latest is not None and latest.batch >= batch_id
         attempt = latest.version + 1 if latest else 0
@@ -292,7 +310,7 @@ def refresh_versions(
             changes = read_log(spark, log)
             if stored is not None:
                 changes = changes.filter(F.col(BUCKET).isin(touched))
-            _rebuild(changes, table, key, delete, generation, group_rows)
+            _rebuild(changes, table, key, delete, generation, group_rows, ties)
             _note(batch.limit(0), table, key, generation)
             taken(whole, attempt)
             tell(before, keys, batch_id)
@@ -301,8 +319,8 @@ def refresh_versions(
         newest = held.filter(F.col(OPEN) == 1)
         before = None
         if changed:
-            before = materialize(_of_keys(newest, keys, key).filter(~F.col(DELETED)))
-        late = materialize(_late(batch, newest, key))
+            before = once(_of_keys(newest, keys, key).filter(~F.col(DELETED)))
+        late = once(_late(batch, newest, key))
         follow_up = batch.join(late.select(key), key, "left_anti")
         in_order = _buckets(follow_up)
         if in_order:
@@ -312,7 +330,7 @@ def refresh_versions(
             grown = opened.join(moved, key, "left_semi").select(*schema.names).unionByName(follow_up)
             hot = hot_keys(grown, key, group_rows)
             # Both writes take their rows from one result, as large as the changes.
-            built = materialize(_placed(version_all(grown, key, delete, hot), generation))
+            built = once(_placed(version_all(grown, key, delete, hot, ties), generation))
             append_partitions(built.filter(F.col(OPEN) == 0), table, [BUCKET, OPEN], [key, START])
             still = opened.join(moved, key, "left_anti").select(*built.columns)
             now = still.unionByName(built.filter(F.col(OPEN) == 1))
@@ -323,8 +341,8 @@ def refresh_versions(
             again = _stored(spark, table, schema, key, delete).filter(F.col(BUCKET).isin(touched))
             history = _of_keys(_valid(spark, again, table, key), late, key).select(*schema.names)
             grown = history.unionByName(changes)
-            built = version_all(grown, key, delete, hot_keys(grown, key, group_rows))
-            rows = _placed(built, generation + 1)
+            built = version_all(grown, key, delete, hot_keys(grown, key, group_rows), ties)
+            rows = once(_placed(built, generation + 1))
             append_partitions(rows, table, [BUCKET, OPEN], [key, START])
             _note(late, table, key, generation + 1)
         taken(whole, attempt)
@@ -332,11 +350,17 @@ def refresh_versions(
 
     stream = stream_log(spark, log)
     writer = stream.writeStream.foreachBatch(refresh).trigger(availableNow=True)
-    drain(writer.option("checkpointLocation", checkpoint).start())
+    with freeing(spark):
+        drain(writer.option("checkpointLocation", checkpoint).start())
 
 
 def rebuild_versions(
-    spark: SparkSession, log: str, table: str, key: str, delete: str | None = None
+    spark: SparkSession,
+    log: str,
+    table: str,
+    key: str,
+    delete: str | None = None,
+    ties: Ties | None = None,
 ) -> None:
     """Recomputes the whole version table from the log, as after a change of history.
 
@@ -345,7 +369,7 @@ def rebuild_versions(
     changes = read_log(spark, log)
     stored = _stored(spark, table, changes.schema, key, delete)
     newest = stored.agg(F.max(GENERATION)).first()[0] if stored is not None else None
-    _rebuild(changes, table, key, delete, newest or 0)
+    _rebuild(changes, table, key, delete, newest or 0, ties=ties)
     _note(changes.select(key, BUCKET).limit(0), table, key, 0, "overwrite")
 
 
